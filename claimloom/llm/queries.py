@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ngram_jaccard import jaccard_components
 from .quality_rules import quality_rules
 
 
@@ -15,6 +16,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
