@@ -23,3 +23,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/claimloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def summed(parts: DataFrame, fan: int = 64) -> DataFrame:
+    """Adds up int64 arrays: rows (piece, source, values binary) become one row (piece, values) for each piece.
+
+    Sources are added in two steps so that no group holds more than about a `fan`-th of them or `fan` arrays.
+    """
+
+    def add(table):
+        import numpy as np
+        import pyarrow as pa
+
+        total = None
+        for values in table.column("values"):
+            array = np.frombuffer(values.as_buffer(), np.int64)
+            total = array.copy() if total is None else total + array
+        first = table.slice(0, 1)
+        out = {"piece": first.column("piece")}
+        if "source" in table.column_names:
+            out["source"] = first.column("source")
+        return pa.table(out | {"values": pa.array([total.tobytes()], pa.binary())})
+
+    some = parts.withColumn("source", (parts["source"] % fan).cast("int")).groupBy("piece", "source").applyInArrow(add, "piece int, source int, values binary")
+    return some.drop("source").groupBy("piece").applyInArrow(add, "piece int, values binary")

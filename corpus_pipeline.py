@@ -1,8 +1,56 @@
-"""The corpus pipeline: classify, apply quality rules, drop near-duplicates, pack."""
+"""The corpus pipeline: classify quality, apply quality rules, keep one of near-duplicates, pack.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet and read again
+as the next stage's docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from claimloom.llm.ngram_jaccard import jaccard_components
+from claimloom.llm.packing import pack_documents
+from claimloom.llm.quality_classifier import in_fold, train_classifier, with_scores
+from claimloom.llm.quality_rules import quality_rules
+from claimloom.llm.queries import tokenizer_path
+from claimloom.llm.staging import staged
+
+
+def classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts as label 1."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~in_fold(F.col("doc_id"), 1)).select("doc_id", F.col("quality").alias("label"))
+    vectors, network = train_classifier(docs, labels)
+    return with_scores(docs, vectors, network, "quality_score").where("quality_score >= 0.5").drop("quality_score")
+
+
+def ruled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep; of rows that repeat a doc_id all go if one is rejected."""
+    rejected = quality_rules(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id."""
+    kept = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences."""
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES = [("quality classifier", classified), ("quality rules", ruled), ("n-gram Jaccard join", deduplicated), ("packing", packed)]
+
+#: SQL expresses none of the four stages; tests/llm holds the pipeline against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of the last stage over the documents of sf_dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name.split()[0])
+    return STAGES[-1][1](spark, docs, sf_dir)
