@@ -1,7 +1,7 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer network.
 
 A token is a word (letters and digits, lower-cased, hashed to one of `WORDS` buckets), a word in capitals (one of
-`CAPITALS` buckets) or one ASCII punctuation mark. Every token has a sparse random index vector; its word vector
+`CAPITALS` buckets), a word that repeats the one before it (`REPEATS` buckets) or one ASCII punctuation mark. Every token has a sparse random index vector; its word vector
 adds up the index vectors of its neighbours over all documents of the corpus. A document's features are the means
 of its tokens' word vectors and index vectors. Labels are learned from at most `SAMPLE` labelled documents, those
 whose hashed id is smallest; a part of them is set aside to fit the temperature of the probabilities.
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from . import textkernel as tk
 from .staging import staged, summed
 
-WORDS, MARKS, CAPITALS = 4096, 128, 64
-VOCABULARY = WORDS + MARKS + CAPITALS
+WORDS, MARKS, CAPITALS, REPEATS = 4096, 128, 64, 64
+VOCABULARY = WORDS + MARKS + CAPITALS + REPEATS
 DIMENSIONS, NONZERO, WINDOW = 32, 4, 2
 #: Most labelled documents that are learned from.
 SAMPLE = 20_000
@@ -51,6 +51,8 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     second = data[np.minimum(starts + 1, len(data) - 1)]
     capital = (ends - starts > 1) & (second >= 65) & (second <= 90)
     number = np.where(capital, WORDS + MARKS + (hashes % np.uint64(CAPITALS)).astype(np.int64), (hashes % np.uint64(WORDS)).astype(np.int64))
+    repeat = np.flatnonzero((hashes[1:] == hashes[:-1]) & (row[1:] == row[:-1])) + 1
+    number[repeat] = WORDS + MARKS + CAPITALS + (hashes[repeat] % np.uint64(REPEATS)).astype(np.int64)
     marks = np.flatnonzero(tk.WORD_BYTE[data] & ~tk.ALNUM_BYTE[data])
     at = np.concatenate([starts, marks])
     order = np.argsort(at, kind="stable")
