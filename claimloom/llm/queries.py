@@ -5,11 +5,15 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat_format import digests, format_conversations
 from .ngram_jaccard import jaccard_components
 from .packing import pack_documents
 from .quality_classifier import classify_quality
 from .quality_rules import quality_rules
+from .sharding import shard_documents
+from .vector_search import nearest_neighbours
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +34,21 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id bigint, turn bigint, role string, text string")
+    return digests(format_conversations(said.unionByName(probe)))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -42,6 +57,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
