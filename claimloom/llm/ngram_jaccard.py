@@ -8,7 +8,8 @@ size into one group. Groups that share a prefix shingle and pass the size and po
 expanded to members, whose whole texts are compared exactly.
 
 Copies need no pairs: a first round compares every group with one leader for each shared shingle and merges
-what links. A second round compares the remaining candidates whose components still differ, all of them, so
+what links. The leader is the group in whose order the shingle comes earliest: edits put rare shingles first, so
+this is the least edited of a family, the one that links with most. A second round compares the remaining candidates whose components still differ, all of them, so
 that no link between components is lost.
 
 Defined results: a null or empty text has no shingles and is a component of its own. Rows that repeat a doc_id
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
@@ -46,10 +47,6 @@ class Threshold:
         """Prefix length that meets every partner at least as large as the bound allows."""
         return n - (self.num * n + self.den - 1) // self.den + 1
 
-    def index(self, n):
-        """Prefix length that suffices against partners of the same size or more."""
-        return n - (2 * self.num * n + self.num + self.den - 1) // (self.num + self.den) + 1
-
     def linked(self, common: int, union: int) -> bool:
         return self.den * common >= self.num * union
 
@@ -222,13 +219,20 @@ def shared_prefixes(docs: DataFrame, order, words: int, threshold: Threshold, pa
 
 
 def _passes(a: str, b: str, t: Threshold):
-    """The size filter, the prefix lengths of the smaller and the larger side, and the position filter."""
+    """The size filter, the prefix lengths for these two sizes, and bounds on what can be common.
+
+    Before a shared shingle only those shingles can be common that some other prefix has too (`place` of them): a
+    common shingle before it stands in both prefixes. From it on, at most what the shorter rest holds is common.
+    Likewise up to the earlier of the two prefix ends (`shared`), and behind it what that side has left.
+    """
     c = lambda side, name: F.col(f"{side}.{name}").cast("bigint")
     small, large = F.least(c(a, "size"), c(b, "size")), F.greatest(c(a, "size"), c(b, "size"))
-    index = lambda n: n - F.expr("0").cast("bigint") - F.floor((2 * t.num * n + t.num + t.den - 1) / (t.num + t.den)) + 1
+    index = lambda n: n - F.floor((2 * t.num * n + t.num + t.den - 1) / (t.num + t.den)) + 1
     within = ((c(a, "size") <= c(b, "size")) & (c(a, "pos") < index(c(a, "size")))) | ((c(b, "size") <= c(a, "size")) & (c(b, "pos") < index(c(b, "size"))))
-    most = F.least(c(a, "pos"), c(b, "pos")) + F.least(c(a, "size") - c(a, "pos"), c(b, "size") - c(b, "pos"))
-    return (t.den * small >= t.num * large) & within & (most * (t.num + t.den) >= t.num * (small + large))
+    most = F.least(c(a, "place"), c(b, "place")) + F.least(c(a, "size") - c(a, "pos"), c(b, "size") - c(b, "pos"))
+    behind = lambda side: F.floor((t.num * c(side, "size") + t.den - 1) / t.den) - 1
+    met = F.least(c(a, "shared"), c(b, "shared")) + F.greatest(behind(a), behind(b))
+    return (t.den * small >= t.num * large) & within & (F.least(most, met) * (t.num + t.den) >= t.num * (small + large))
 
 
 def verified(docs: DataFrame, pairs: DataFrame, words: int, threshold: Threshold) -> DataFrame:
@@ -277,8 +281,10 @@ def jaccard_components(docs: DataFrame, words: int = SHINGLE_WORDS, similarity:
     leads = members.groupBy("prefix").agg(F.min("doc").alias("lead"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1) * 2
     entries = staged(shared_prefixes(docs.where("doc_id is not null"), order, words, threshold, parts), "entries")
+    whole = Window.partitionBy("prefix")
+    entries = staged(entries.withColumns({"place": F.row_number().over(whole.orderBy("pos")) - 1, "shared": F.count("*").over(whole)}), "counted")
 
-    first = entries.groupBy("token").agg(F.min(F.struct("prefix", "size", "pos")).alias("l")).select("token", "l.*")
+    first = entries.groupBy("token").agg(F.min(F.struct("pos", "size", "prefix", "place", "shared")).alias("l")).select("token", "l.*")
     groups = entries.alias("e").join(first.alias("l"), "token").where((F.col("e.prefix") != F.col("l.prefix")) & _passes("e", "l", threshold))
     groups = groups.select(F.col("e.prefix").alias("g"), F.col("l.prefix").alias("h")).distinct()
     g_members, h_members = members.select(F.col("prefix").alias("g"), F.col("doc").alias("x")), members.select(F.col("prefix").alias("h"), F.col("doc").alias("x"))
