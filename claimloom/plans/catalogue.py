@@ -1,11 +1,665 @@
-"""The query catalogue: every reference operator applied to the driver tables, with its SQL oracle."""
+"""The query catalogue: the operators applied to whole driver tables, with DuckDB oracles where SQL can say it."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..functions.identity import EDGE_PREFIX, node_id, stable_id
+from ..operators import agreement, chunking, confidence, matching, merge, normalize, reconcile, validate
+from ..streaming import incremental
+from .views import claims, claims_sql, mentions, mentions_sql, table
+
+_QUERIES: dict = {}
+_ORACLES: dict[str, str] = {}
+FACETS = ["entity_term", "measured_attribute", "qualifier", "entity_type"]
+CHAIN_COLUMNS = ["name", *FACETS]
+
+
+def query(sql: str | None = None):
+    """Registers a function under its name, with its oracle."""
+
+    def register(f):
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+# SQL pieces for the oracles ------------------------------------------------------------------------------------
+
+_stop = ", ".join(f"'{x}'" for x in T.STOPWORDS)
+
+
+def s_fold(x: str) -> str:
+    return f"trim(regexp_replace(lower({x}), '[^a-z0-9]+', '_', 'g'), '_')"
+
+
+def s_norm(x: str) -> str:
+    return f"lower(trim(regexp_replace(coalesce({x}, ''), '\\s+', ' ', 'g')))"
+
+
+def s_tokens(x: str) -> str:
+    return f"list_distinct(list_filter(regexp_split_to_array(lower(coalesce({x}, '')), '[^a-z0-9]+'), lambda t: t <> '' and not list_contains([{_stop}], t)))"
+
+
+def s_plain(x: str) -> str:
+    return f"list_distinct(list_filter(regexp_split_to_array(lower(coalesce({x}, '')), '[^a-z0-9]+'), lambda t: t <> ''))"
+
+
+def s_id(prefix: str, *parts: str) -> str:
+    joined = " || '|' || ".join(f"coalesce({p}::varchar, '')" for p in parts)
+    return f"'{prefix}' || substr(sha256({joined}), 1, 12)"
+
+
+def s_containment(a: str, b: str) -> str:
+    k = f"len(list_intersect({a}, {b}))"
+    return f"(case when len({a}) = 0 or len({b}) = 0 or {k} = 0 then 0.0 when len({a}) = len({b}) and {k} = len({a}) then 1.0 else greatest({k}::double / (len({a}) + len({b}) - {k}), {k}::double / least(len({a}), len({b})) * 0.9) end)"
+
+
+def _node_sql(alias: str = "") -> str:
+    p = f"{alias}." if alias else ""
+    return s_id("camo:node_", *[s_norm(f"{p}{c}") for c in FACETS], "''")
+
+
+_NODES = f"nodes as (select *, {_node_sql()} as node_id from ({mentions_sql()}) v)"
+_EDGES = f"""edges as (select c.*, a.node_id as subject, b.node_id as object from ({claims_sql()}) c
+    join nodes a on a.graph_ord = c.graph_ord and a.item_ord = c.subject_ord
+    join nodes b on b.graph_ord = c.graph_ord and b.item_ord = c.object_ord)"""
+
+
+# Graph merge ---------------------------------------------------------------------------------------------------
+
+
+def _merged(spark: SparkSession, sf_dir: str):
+    nodes = mentions(spark, sf_dir)
+    return nodes, *merge.merge_nodes(nodes.withColumn("applied", F.lit("")), [*FACETS, "applied"], CHAIN_COLUMNS)
+
+
+@query(f"with {_NODES}, {_EDGES} select subject, predicate, object, count(*) as mentions, count(distinct source_document) as documents from edges group by all")
+def claim_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which causal claims the corpus makes, in how many documents and mentions. X1 X2 A1 J6 A2.
+
+    The identity is a function of a mention's own fields, so the endpoints' ids come from the mention view itself:
+    one window for the view and one aggregation, no join with an id map.
+    """
+    by = Window.partitionBy("graph_ord").orderBy("item_ord")
+    facets = [F.col(c) for c in FACETS]
+    nodes = mentions(spark, sf_dir).withColumn("node_id", node_id(*facets))
+    ends = nodes.select("graph_ord", "l_linestatus", F.col("node_id").alias("subject"), F.lead("node_id").over(by).alias("object")).where("object is not null")
+    predicate = F.when(F.col("l_linestatus") == "O", "causes").otherwise("prevents")
+    return ends.groupBy("subject", predicate.alias("predicate"), "object").agg(F.count("*").alias("mentions"), F.countDistinct("graph_ord").alias("documents"))
+
+
+@query(f"with {_NODES} select node_id as new_id, count(*) as sources, arg_min(name, (graph_ord, item_ord)) as name, arg_min(entity_term, (graph_ord, item_ord)) as entity_term, arg_min(measured_attribute, (graph_ord, item_ord)) as measured_attribute, arg_min(qualifier, (graph_ord, item_ord)) as qualifier, arg_min(entity_type, (graph_ord, item_ord)) as entity_type from nodes group by 1")
+def node_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: nodes grouped by identity, each field from the first mention that fills it."""
+    return _merged(spark, sf_dir)[1].select("new_id", "sources", *CHAIN_COLUMNS)
+
+
+@query(f"with {_NODES}, {_EDGES} select {s_id('camo:edge_', 'subject', 'predicate', 'object', 'null', 'source_document')} as edge_id, subject, predicate, object, source_document, count(*) as sources, arg_min(claim_strength, item_ord) as claim_strength from edges group by all")
+def edge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of one document with equal endpoints and predicate, after endpoint rewriting."""
+    nodes, _, id_map = _merged(spark, sf_dir)
+    edges = claims(spark, sf_dir, nodes.drop("node")).withColumns({"original_sentence": F.lit(None).cast("string"), "edge": F.concat_ws(":", F.lit("e"), "graph_ord", "item_ord")})
+    merged, _ = merge.merge_edges(merge.rewrite(edges, id_map, ["subject", "object"]), ["claim_strength"])
+    return merged.select("edge_id", "subject", "predicate", "object", "source_document", "sources", "claim_strength")
+
+
+@query(f"with {_NODES} select count(*) as nodes_in, count(distinct node_id) as nodes_out, count(*) - count(distinct node_id) as merged, count(distinct graph_ord) as graphs from nodes")
+def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: counters of a consolidation."""
+    nodes, merged, _ = _merged(spark, sf_dir)
+    out = merged.agg(F.sum("sources").alias("nodes_in"), F.count("*").alias("nodes_out"))
+    return out.crossJoin(nodes.agg(F.countDistinct("graph_ord").alias("graphs"))).select("nodes_in", "nodes_out", (F.col("nodes_in") - F.col("nodes_out")).alias("merged"), "graphs")
+
+
+@query(f"with {_NODES} select node_id as new_id, count(*) as sources from nodes group by 1 having count(*) > 1 order by sources desc, new_id limit 50")
+def merged_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: the largest merge groups, a report of fifty."""
+    return merge.merged_groups(_merged(spark, sf_dir)[1]).select("new_id", "sources")
+
+
+@query(f"with {_NODES} select 'n:' || graph_ord || ':' || item_ord as old_id, graph_ord, node_id as new_id from nodes")
+def node_id_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every input node went."""
+    return _merged(spark, sf_dir)[2].select("old_id", "graph_ord", "new_id")
+
+
+@query(f"with {_NODES}, {_EDGES} select graph_ord, item_ord, subject, object, predicate, negated from edges")
+def id_map_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Endpoints rewritten through the id map."""
+    nodes, _, id_map = _merged(spark, sf_dir)
+    edges = claims(spark, sf_dir, nodes.drop("node"))
+    return merge.rewrite(edges, id_map, ["subject", "object"]).select("graph_ord", "item_ord", "subject", "object", "predicate", "negated")
+
+
+@query("""select o_custkey as customer, count(*) as sources, arg_min(nullif(o_orderstatus, 'O'), (o_orderkey, o_orderdate)) filter (o_orderstatus <> 'O') as status,
+    arg_min(o_orderpriority, (o_orderkey, o_orderdate)) filter (o_orderpriority not like '5%') as priority from orders group by 1""")
+def node_fill_first_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 A3: the first non-empty value of each column by ordinal."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderkey").alias("graph_ord"), F.col("o_orderdate").alias("item_ord"), F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).otherwise("").alias("status"), F.when(~F.col("o_orderpriority").like("5%"), F.col("o_orderpriority")).alias("priority"))
+    return merge.first_filled(orders, ["customer"], ["status", "priority"]).drop("first")
+
+
+@query("""select c_nationkey as document_id, arg_min(c_mktsegment, c_custkey) filter (c_custkey % 3 <> 0) as segment, arg_min(case when c_custkey % 2 = 0 then c_name end, c_custkey) filter (case when c_custkey % 2 = 0 then c_name end is not null) as title from customer group by 1""")
+def document_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of many graphs, later ones adding only fields that are absent."""
+    rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("document_id"), F.col("c_custkey").alias("graph_ord"), F.lit(0).alias("item_ord"), F.col("c_mktsegment").alias("segment"), (F.col("c_custkey") % 3 != 0).alias("segment_present"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("title"))
+    return merge.merge_documents(rows, "document_id", ["segment", "title"])
+
+
+@query("""with s as (select l_partkey as item, l_shipmode_ as span, min((l_orderkey, l_linenumber, l_suppkey)) as first from (select *, l_returnflag || l_linestatus as l_shipmode_ from lineitem) group by 1, 2)
+    select item, string_agg(span, ',' order by first) as spans from s group by 1""")
+def span_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered set union of spans."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("item"), F.struct("l_orderkey", "l_linenumber", "l_suppkey").alias("graph_ord"), F.lit(0).alias("item_ord"), F.array(F.concat("l_returnflag", "l_linestatus")).alias("spans"))
+    return merge.merge_spans(rows, "item", "spans").select("item", F.array_join("spans", ",").alias("spans"))
+
+
+@query("""with r as (select *, row_number() over (partition by c_mktsegment order by c_custkey) as k from customer)
+    select c_custkey, case when k = 1 then lower(c_mktsegment) else lower(c_mktsegment) || '_' || k end as slug from r""")
+def slug_disambiguation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suffixes for repeated slugs in order."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.lower("c_mktsegment").alias("slug"))
+    return merge.unique_slugs(rows, "slug", ["c_custkey"]).select("c_custkey", "slug")
+
+
+# Integrity and rules -------------------------------------------------------------------------------------------
+
+
+def _filtered_nodes(spark: SparkSession, sf_dir: str):
+    part = table(spark, sf_dir, "part").select(F.lit(0).alias("graph_ord"), F.concat(F.lit("p"), F.col("p_partkey") % 900).alias("id"))
+    line = table(spark, sf_dir, "lineitem").select(F.lit(0).alias("graph_ord"), F.concat_ws(":", "l_orderkey", "l_linenumber").alias("id"), F.concat(F.lit("p"), F.col("l_partkey") % 1000).alias("subject"), F.when(F.col("l_quantity") > 1, F.concat(F.lit("p"), F.col("l_suppkey") % 900)).alias("object"))
+    return part, line
+
+
+_INTEGRITY = """n as (select 'p' || (p_partkey % 900) as id from part), e as (select l_orderkey || ':' || l_linenumber as id, 'p' || (l_partkey % 1000) as subject,
+    case when l_quantity > 1 then 'p' || (l_suppkey % 900) end as object from lineitem)"""
+
+
+@query(f"""with {_INTEGRITY} select 'duplicate_node_id' as rule, id from n group by id having count(*) > 1
+    union all select 'duplicate_edge_id', id from e group by id having count(*) > 1
+    union all select 'missing_object', id from e where object is null
+    union all select 'unknown_subject', id from e where subject not in (select id from n)
+    union all select 'unknown_object', id from e where object is not null and object not in (select id from n)""")
+def integrity_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing, repeated and unknown ids."""
+    return validate.check_integrity(*_filtered_nodes(spark, sf_dir)).select("rule", "id")
+
+
+@query("""with o as (select o_orderkey::varchar as id, o_totalprice, o_orderpriority, o_orderstatus from orders)
+    select id, 'price' as rule from o where not coalesce(o_totalprice between 0 and 200000, true) union all
+    select id, 'priority' from o where not coalesce(regexp_matches(o_orderpriority, '^[1-4]-'), true) union all select id, 'status' from o where o_orderstatus not in ('O', 'F')""")
+def schema_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range, pattern and membership checks in one scan."""
+    orders = table(spark, sf_dir, "orders").withColumn("graph_ord", F.lit(0))
+    rules = {"price": validate.between("o_totalprice", 0, 200000), "priority": validate.matches("o_orderpriority", "^[1-4]-"), "status": validate.one_of("o_orderstatus", ["O", "F"])}
+    return validate.check_rules(orders, rules, "o_orderkey").select("id", "rule")
+
+
+@query("""with n as (select p_partkey as id from part where p_partkey % 7 <> 0) select l_partkey % 7 = 0 as dangling, count(*) as edges from lineitem group by 1""")
+def dangling_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """edges kept and dropped by their endpoints."""
+    nodes = table(spark, sf_dir, "part").where("p_partkey % 7 <> 0").select(F.lit(0).alias("graph_ord"), F.col("p_partkey").alias("id"))
+    edges = table(spark, sf_dir, "lineitem").select(F.lit(0).alias("graph_ord"), F.col("l_partkey").alias("subject"), F.col("l_partkey").alias("object"))
+    kept, dropped = normalize.drop_dangling(edges, nodes)
+    return kept.select(F.lit(False).alias("dangling")).unionByName(dropped.select(F.lit(True).alias("dangling"))).groupBy("dangling").agg(F.count("*").alias("edges"))
+
+
+# Text functions ------------------------------------------------------------------------------------------------
+
+
+@query(f"select o_orderkey, {s_fold('o_orderpriority')} as folded, {s_norm('o_orderpriority')} as normed from orders")
+def fold_and_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N1 N2 N17."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", T.fold(F.col("o_orderpriority")).alias("folded"), T.norm(F.col("o_orderpriority")).alias("normed"))
+
+
+@query(f"select doc_id, array_to_string(list_sort({s_tokens('text')}), ' ') as tokens, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda t: length(t) > 2))), ' ') as title_tokens from documents")
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token sets of whole texts."""
+    show = lambda x: F.array_join(F.array_sort(x), " ")
+    return table(spark, sf_dir, "documents").select("doc_id", show(T.tokens(F.col("text"))).alias("tokens"), show(T.title_tokens(F.col("text"))).alias("title_tokens"))
+
+
+@query("select page_id, trim(regexp_replace(regexp_replace(coalesce(html, ''), '<[^>]+>', '', 'g'), '\\s+', ' ', 'g')) as text from pages")
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markup removed and white space collapsed."""
+    return table(spark, sf_dir, "pages").select("page_id", T.clean_text(F.col("html")).alias("text"))
+
+
+@query("select o_orderkey, try_cast(nullif(regexp_extract(o_orderdate::varchar, '(1[5-9][0-9]{2}|20[0-9]{2}|21[0-9]{2})', 1), '') as int) as year, '10.1234/' || lower(o_orderpriority[1:1]) || o_orderkey as doi from orders")
+def year_and_doi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year out of a date, a normalised DOI out of a link."""
+    raw = F.concat(F.lit("https://doi.org/10.1234/"), F.substring("o_orderpriority", 1, 1), F.col("o_orderkey").cast("string"), F.lit(".,; "))
+    return table(spark, sf_dir, "orders").select("o_orderkey", T.parse_year(F.col("o_orderdate").cast("string")).alias("year"), T.parse_doi(raw).alias("doi"))
+
+
+@query("""select p_partkey, regexp_full_match(trim(v), '(?:[A-Za-z][A-Za-z0-9_.]{0,30}:[A-Za-z0-9_.\\-/#]+|[QP]\\d+|https?://\\S+)') as identifier
+    from (select p_partkey, case p_partkey % 4 when 0 then 'Q' || p_partkey when 1 then p_name when 2 then 'ENVO:' || p_partkey else 'http://x/' || p_partkey end as v from part)""")
+def identifier_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """what looks like an identifier."""
+    k, key = F.col("p_partkey") % 4, F.col("p_partkey").cast("string")
+    value = F.when(k == 0, F.concat(F.lit("Q"), key)).when(k == 1, F.col("p_name")).when(k == 2, F.concat(F.lit("ENVO:"), key)).otherwise(F.concat(F.lit("http://x/"), key))
+    return table(spark, sf_dir, "part").select("p_partkey", T.looks_like_identifier(value).alias("identifier"))
+
+
+@query("""with w as (select item_id, regexp_split_to_array(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ') as w from benchmark)
+    select item_id, array_to_string(list_transform(range(2, least(len(w), 4) + 1), lambda i: array_to_string(w[i:], ' ')), '|') as tails from w""")
+def backoff_tails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tails of a phrase."""
+    return table(spark, sf_dir, "benchmark").select("item_id", F.array_join(T.backoff_tails(F.col("text")), "|").alias("tails"))
+
+
+@query("""select p_partkey, case when p_partkey % 3 = 0 then p_name || ' process|' || p_name else p_name || ' x' end as variants from part""")
+def label_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels without a classifying last word."""
+    label = F.when(F.col("p_partkey") % 3 == 0, F.concat("p_name", F.lit(" process"))).otherwise(F.concat("p_name", F.lit(" x")))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(T.label_variants(label), "|").alias("variants"))
+
+
+@query("""with w as (select doc_id, len(string_split(trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')), ' ')) as n, coalesce(text, '') as t from documents)
+    select doc_id, case when trim(regexp_replace(t, '\\s+', ' ', 'g')) = '' then 0 else n end as words, case when n < 200 then 'suspect_short' else 'converted' end as status from w""")
+def min_words_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts and the short-text gate."""
+    words = T.word_count(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", words.alias("words"), F.when(words < 200, "suspect_short").otherwise("converted").alias("status"))
+
+
+@query("""select c_custkey, trim(regexp_replace(lower(c_name), '[^a-z0-9]+', '_', 'g'), '_') as slug, trim(regexp_replace(lower(c_name), '[^a-z0-9]+', '_', 'g'), '_') || '_' || (1990 + c_nationkey) || '_' || trim(regexp_replace(lower(c_mktsegment), '[^a-z0-9]+', '_', 'g'), '_') as document_slug from customer""")
+def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slugs of names and documents."""
+    return table(spark, sf_dir, "customer").select("c_custkey", T.slugify(F.col("c_name")).alias("slug"), T.build_slug(F.col("c_name"), 1990 + F.col("c_nationkey"), F.col("c_mktsegment")).alias("document_slug"))
+
+
+@query(f"select l_orderkey, l_linenumber, l_partkey, {s_id('camo:edge_', 'l_orderkey', 'null', 'l_returnflag', 'l_partkey')} as id from lineitem")
+def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content ids, nulls as empty parts."""
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", stable_id(EDGE_PREFIX, F.col("l_orderkey"), F.lit(None), F.col("l_returnflag"), F.col("l_partkey")).alias("id"))
+
+
+@query("""select event_id, (props::json->>'k')::bigint as k from events""")
+def json_reply_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON object of a reply with thoughts, fences and prose around it."""
+    e = F.col("event_id") % 3
+    fence, think = F.lit("```json\n"), F.lit("<think>a {1} b</think>")
+    reply = F.when(e == 0, F.concat(think, fence, "props", F.lit("\n```"))).when(e == 1, F.concat(F.lit("Here: "), "props", F.lit(" done"))).otherwise(F.col("props"))
+    return table(spark, sf_dir, "events").select("event_id", F.get_json_object(T.json_object(reply), "$.k").cast("bigint").alias("k"))
+
+
+@query("""select o_orderkey, case when o_orderkey % 2 = 0 then 'Smith|Jones' else '' end as authors, case when o_orderkey % 2 = 0 then 1999 end as year, case when o_orderkey % 2 = 0 then o_orderpriority else 'x' || o_orderpriority end as title from orders""")
+def filename_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Authors, year and title of attachment names."""
+    stem = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("Smith and Jones, et al. - 1999 - "), "o_orderpriority")).otherwise(F.concat(F.lit("x"), "o_orderpriority"))
+    parts = T.filename_parts(stem)
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(parts["authors"], "|").alias("authors"), parts["year"].alias("year"), parts["title"].alias("title"))
+
+
+_PRIORITIES = ["urgent", "high", "medium_level", "not_specified", "low"]
+
+
+@query("""select o_orderpriority as value, case o_orderpriority when '1-URGENT' then 'urgent' when '2-HIGH' then 'high' when '3-MEDIUM' then 'medium_level' when '4-NOT SPECIFIED' then 'not_specified' when '5-LOW' then 'low' end as coerced,
+    case when o_orderpriority = '3-MEDIUM' then 'curated alias' else 'token overlap' end as how, count(*) as n from orders group by 1""")
+def enum_coerce_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coercion to an enum by folding, alias and token overlap."""
+    orders = table(spark, sf_dir, "orders")
+    permitted = spark.createDataFrame(list(zip(_PRIORITIES, range(len(_PRIORITIES)), strict=True)), "name string, ord int")
+    aliases = spark.createDataFrame([("3_medium", "medium_level")], "alias string, name string")
+    coerced = normalize.coerce_enum(orders.select(F.col("o_orderpriority").alias("value")), permitted, aliases)
+    return orders.groupBy(F.col("o_orderpriority").alias("value")).agg(F.count("*").alias("n")).join(F.broadcast(coerced), "value", "left").select("value", "coerced", "how", "n")
+
+
+# Similarity joins ----------------------------------------------------------------------------------------------
+
+_PAIRS = f"""d as (select doc_id, {s_plain('text')} as w from documents), b as (select item_id, {s_plain('text')} as w from benchmark),
+    p as (select doc_id, item_id, len(list_intersect(d.w, b.w)) as k, len(d.w) as n, len(b.w) as m from d, b)"""
+
+
+def _benchmark_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return matching.token_join(docs, items, "doc_id", "item_id", T.plain_tokens(F.col("text")), T.plain_tokens(F.col("text")))
+
+
+@query(f"with {_PAIRS} select doc_id, item_id, round(k::double / (n + m - k), 6) as score from p where k > 0 and k::double / (n + m - k) >= 0.25")
+def jaccard_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents and items by token overlap."""
+    found = matching.similar_pairs(_benchmark_pairs(spark, sf_dir), matching.overlap(), 0.25)
+    return found.select(F.col("left_id").alias("doc_id"), F.col("right_id").alias("item_id"), F.round("score", 6).alias("score"))
+
+
+@query(f"with {_PAIRS}, s as (select *, case when n = m and k = n then 1.0 else greatest(k::double / (n + m - k), k::double / least(n, m) * 0.9) end as score from p where k > 0) select doc_id, item_id, round(score, 6) as score from s where score >= 0.7")
+def containment_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlap or discounted containment."""
+    found = matching.similar_pairs(_benchmark_pairs(spark, sf_dir), matching.containment(), 0.7)
+    return found.select(F.col("left_id").alias("doc_id"), F.col("right_id").alias("item_id"), F.round("score", 6).alias("score"))
+
+
+@query(f"with {_PAIRS}, s as (select *, k::double / (n + m - k) as score from p where k > 0), r as (select *, row_number() over (partition by item_id order by score desc, doc_id) as i from s) select item_id, doc_id, round(score, 6) as score from r where i = 1")
+def best_title_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each item the best document, ties to the smaller id."""
+    pairs = _benchmark_pairs(spark, sf_dir).withColumn("score", matching.overlap())
+    best = matching.best_match(pairs, "right_id", [F.desc("score"), F.asc("left_id")])
+    return best.select(F.col("right_id").alias("item_id"), F.col("left_id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+@query()
+def greedy_title_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy one-to-one matching of items to documents in item order."""
+    pairs = matching.similar_pairs(_benchmark_pairs(spark, sf_dir), matching.overlap(), 0.25)
+    return matching.one_to_one(pairs.select(F.col("right_id").alias("left_ord"), F.col("left_id").alias("right_id"), "score"))
+
+
+def _terms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    part = table(spark, sf_dir, "part")
+    query_terms = part.select(F.col("p_type").alias("term")).distinct()
+    vocabulary = part.groupBy(F.col("p_name").alias("label")).agg(F.concat(F.lit("V:"), F.min("p_partkey")).alias("curie"))
+    return query_terms, vocabulary
+
+
+_TERMS = f"""q as (select distinct p_type as term from part), v as (select p_name as label, 'V:' || min(p_partkey) as curie from part group by 1),
+    s as (select term, curie, label, len(list_intersect(a, b))::double / (len(a) + len(b) - len(list_intersect(a, b))) as score from (select *, {s_tokens('term')} as a, {s_tokens('label')} as b from q, v) where len(list_intersect(a, b)) > 0)"""
+
+
+def _term_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms, vocabulary = _terms(spark, sf_dir)
+    pairs = matching.token_join(terms, vocabulary.withColumn("entry", F.struct("curie", "label")), "term", "entry", T.tokens(F.col("term")), T.tokens(F.col("label")))
+    return pairs.select(F.col("left_id").alias("term"), "right_id.curie", "right_id.label", matching.overlap().alias("score"))
+
+
+@query(f"with {_TERMS}, r as (select *, row_number() over (partition by term order by score desc, curie) as rank from s) select term, curie, round(score, 6) as score, rank from r where rank <= 5")
+def term_match_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vocabulary terms of each query term."""
+    return matching.top_matches(_term_hits(spark, sf_dir), "term", [F.desc("score"), F.asc("curie")]).select("term", "curie", F.round("score", 6).alias("score"), "rank")
+
+
+@query(f"with {_TERMS}, x as (select term, curie, score, case when right(curie, 1) in ('0','2','4','6','8') then 0 else 1 end as route from s), near as (select distinct term from x where route = 0 and score >= 0.999), y as (select * from x where route = 0 or term not in (select term from near)), r as (select *, row_number() over (partition by term order by score desc, route, curie) as i from y) select term, curie, round(score, 6) as score, route from r where i = 1")
+def route_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best hit over two ranked backends."""
+    hits = _term_hits(spark, sf_dir)
+    even = F.substring("curie", -1, 1).isin("0", "2", "4", "6", "8")
+    return matching.routed([(0, hits.where(even)), (1, hits.where(~even))]).select("term", "curie", F.round("score", 6).alias("score"), "route")
+
+
+@query(f"with {_TERMS}, o as (select term, 'OVERRIDE' as curie, 1.0::double as score from q where term like 'S%'), r as (select *, row_number() over (partition by term order by score desc, curie) as i from s where score >= 0.6) select term, curie, score from o union all select term, curie, round(score, 6) from r where i = 1 and term not in (select term from o)")
+def override_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated overrides win outright."""
+    terms, _ = _terms(spark, sf_dir)
+    override = terms.where("term like 'S%'").select("term", F.lit("OVERRIDE").alias("curie"), F.lit(1.0).alias("score"))
+    best = matching.best_match(_term_hits(spark, sf_dir).where("score >= 0.6"), "term", [F.desc("score"), F.asc("curie")])
+    return matching.with_fallback(override, best.select("term", "curie", F.round("score", 6).alias("score")))
+
+
+# Reconciliation ------------------------------------------------------------------------------------------------
+
+_SIDES = f"""m as (select graph_ord * 100 + item_ord as id, graph_ord, entity_term, measured_attribute, qualifier, entity_type from ({mentions_sql()}) v),
+    n as (select * from m where graph_ord % 2 = 1), e as (select * from m where graph_ord % 2 = 0)"""
+
+
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    key = F.col("graph_ord") * 100 + F.col("item_ord")
+    rows = mentions(spark, sf_dir).select(key.alias("id"), key.alias("ord"), "graph_ord", *FACETS)
+    return rows.where("graph_ord % 2 = 1").drop("graph_ord"), rows.where("graph_ord % 2 = 0").drop("graph_ord")
+
+
+@query(f"with {_SIDES} select n.id as new_id, max(e.id) as existing_id from n join e using (entity_term, measured_attribute, qualifier, entity_type) group by 1")
+def reconcile_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact identity, the last existing node wins."""
+    return reconcile.reconcile(*_sides(spark, sf_dir)).where("rule = 'identity'").select("new_id", "existing_id")
+
+
+@query(f"""with {_SIDES}, x as (select distinct n.id from n join e using (entity_term, measured_attribute, qualifier, entity_type)),
+    a as (select n.id as new_id, e.id as existing_id, {s_plain('n.measured_attribute')} as p, {s_plain('e.measured_attribute')} as q from n join e on n.entity_term = e.entity_term and n.qualifier = e.qualifier and n.entity_type = e.entity_type where n.id not in (select id from x)),
+    s as (select new_id, existing_id, {s_containment('p', 'q')} as score from a), r as (select *, row_number() over (partition by new_id order by score desc, existing_id) as i from s where score >= 0.5)
+    select new_id, existing_id, round(score, 3) as score from r where i = 1""")
+def reconcile_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal anchors and alike attributes, the first best wins."""
+    found = reconcile.reconcile(*_sides(spark, sf_dir), min_score=0.5).where("rule <> 'identity'")
+    return found.select("new_id", "existing_id", F.round("score", 3).alias("score"))
+
+
+# Agreement -----------------------------------------------------------------------------------------------------
+
+_WITNESS = f"""c as (select graph_ord, item_ord as id, 'n' || subject_ord as subject, 'n' || object_ord as object, predicate, negated, claim_strength, l_suppkey from ({claims_sql()}) v),
+    w as (select graph_ord, 'w' || k as witness, id, case when (l_suppkey + k) % 11 = 0 then object else subject end as subject, case when (l_suppkey + k) % 11 = 0 then subject else object end as object,
+        case when (l_suppkey + k) % 7 = 0 then 'enables' else predicate end as predicate, negated, claim_strength from c, (values (0), (1), (2)) t(k) where l_suppkey % 5 <> k),
+    f as (select w.graph_ord, c.id, witness, w.id as w_id, case when w.predicate <> c.predicate or w.negated <> c.negated or w.claim_strength <> c.claim_strength then 'conflict' else 'agrees' end as verdict from w join c on w.graph_ord = c.graph_ord and w.subject = c.subject and w.object = c.object),
+    r as (select w.* from w anti join f on w.graph_ord = f.graph_ord and w.witness = f.witness and w.id = f.w_id),
+    t as (select r.graph_ord, c.id, r.witness, r.id as w_id, 'conflict' as verdict from r join c on r.graph_ord = c.graph_ord and r.subject = c.object and r.object = c.subject),
+    o as (select r.* from r anti join t on r.graph_ord = t.graph_ord and r.witness = t.witness and r.id = t.w_id),
+    v as (select graph_ord, id, witness, case max(case verdict when 'agrees' then 2 when 'conflict' then 1 else 0 end) when 2 then 'agrees' when 1 then 'conflict' else 'missing' end as verdict from (select * from f union all select * from t) group by all),
+    st as (select c.graph_ord, c.id, count_if(v.verdict = 'agrees') as agree, count_if(v.verdict = 'conflict') as conflict from c left join v on c.graph_ord = v.graph_ord and c.id = v.id group by all),
+    ss as (select *, case when conflict > 0 then 'conflict' when agree = 3 then 'agreed' when agree > 0 then 'partial' else 'unsupported' end as status from st)"""
+_OMISSIONS = _WITNESS.replace("c as (", "all_c as (", 1).replace("from c, (values", "from all_c, (values").replace("w as (", "c as (select * from all_c where id % 2 = 0), w as (", 1)
+_COMPARED = ["predicate", "negated", "claim_strength"]
+
+
+def _witnesses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    end = lambda c: F.concat(F.lit("n"), F.col(c).cast("string"))
+    primary = claims(spark, sf_dir).select("graph_ord", F.col("item_ord").alias("id"), end("subject_ord").alias("subject"), end("object_ord").alias("object"), *_COMPARED, "l_suppkey")
+    k = F.col("k")
+    said = primary.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).where(F.col("l_suppkey") % 5 != k)
+    turned = (F.col("l_suppkey") + k) % 11 == 0
+    witness = said.select(
+        "graph_ord", "id", F.concat(F.lit("w"), k.cast("string")).alias("witness"), F.when(turned, F.col("object")).otherwise(F.col("subject")).alias("subject"), F.when(turned, F.col("subject")).otherwise(F.col("object")).alias("object"),
+        F.when((F.col("l_suppkey") + k) % 7 == 0, "enables").otherwise(F.col("predicate")).alias("predicate"), "negated", "claim_strength",
+    )
+    return primary.drop("l_suppkey"), witness
+
+
+def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    primary, witness = _witnesses(spark, sf_dir)
+    found, _ = agreement.edge_verdicts(primary, witness, ["graph_ord"], _COMPARED)
+    answered = primary.select("graph_ord").distinct().withColumn("witness", F.explode(F.array(*[F.lit(f"w{k}") for k in range(3)])))
+    return agreement.item_statuses(primary.select("graph_ord", "id"), agreement.reduced(found, ["graph_ord"]), answered, ["graph_ord"])
+
+
+@query(f"with {_WITNESS} select graph_ord, id, witness, verdict from v")
+def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest verdict of each witness on each claim."""
+    primary, witness = _witnesses(spark, sf_dir)
+    return agreement.reduced(agreement.edge_verdicts(primary, witness, ["graph_ord"], _COMPARED)[0], ["graph_ord"]).select("graph_ord", "id", "witness", "verdict")
+
+
+@query(f"with {_WITNESS} select graph_ord, id, status, agree || '/3' as support from ss")
+def claim_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statuses of claims."""
+    return _statuses(spark, sf_dir).select("graph_ord", "id", "status", "support")
+
+
+@query(f"with {_WITNESS} select status, count(*) as n from ss group by 1")
+def agreement_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status counts of the corpus."""
+    return _statuses(spark, sf_dir).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query(f"with {_OMISSIONS} select graph_ord, subject, object, string_agg(distinct witness, ',' order by witness) as witnesses, count(*) as evidence from o group by all")
+def omissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims that only witnesses make."""
+    primary, witness = _witnesses(spark, sf_dir)
+    primary = primary.where("id % 2 = 0")
+    omitted = agreement.edge_verdicts(primary, witness, ["graph_ord"], _COMPARED)[1]
+    found = agreement.grouped_omissions(omitted, ["graph_ord"])
+    return found.select("graph_ord", "subject", "object", F.array_join("witnesses", ",").alias("witnesses"), "evidence")
+
+
+@query(f"with {_WITNESS}, a as (select witness, count(*) as agreed from v where verdict = 'agrees' group by 1) select witness, agreed, round(agreed::double / (select count(*) from c), 3) as rate from a")
+def witness_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of claims that each witness confirms."""
+    primary, witness = _witnesses(spark, sf_dir)
+    found = agreement.reduced(agreement.edge_verdicts(primary, witness, ["graph_ord"], _COMPARED)[0], ["graph_ord"])
+    agreed = found.where("verdict = 'agrees'").groupBy("witness").agg(F.count("*").alias("agreed"))
+    return agreed.crossJoin(primary.agg(F.count("*").alias("_n"))).select("witness", "agreed", F.round(F.col("agreed") / F.col("_n"), 3).alias("rate"))
+
+
+@query()
+def witness_node_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of a renamed extraction mapped to the primary ones."""
+    nodes = mentions(spark, sf_dir).select("graph_ord", F.col("item_ord").alias("ord"), F.col("item_ord").alias("id"), *FACETS)
+    renamed = nodes.withColumn("measured_attribute", F.when(F.col("id") % 3 == 0, F.lit("")).otherwise(F.col("measured_attribute"))).withColumn("qualifier", F.when(F.col("id") % 4 == 0, F.lit("present")).otherwise(F.col("qualifier")))
+    return agreement.map_nodes(nodes, renamed, ["graph_ord"], ["entity_type", "qualifier"])
+
+
+# Confidence ----------------------------------------------------------------------------------------------------
+
+_TOKENS = "t as (select user_id, event_type as field, ts, event_id, -value / 200 as lp, event_type as token, case event_type when 'click' then 'quote' when 'error' then 'decision' when 'view' then 'decision' else 'content' end as kind from events)"
+_FIELDS = f"{_TOKENS}, f as (select user_id, field, kind, sum(lp) as joint, sum(lp) / count(*) as mean, min(lp) as least, count(*) as tokens from t group by all), g as (select *, round(case when kind = 'decision' then exp(greatest(joint, -100)) else exp(greatest(mean, -100)) end, 4) as p from f)"
+_CORE = ["error", "signup"]
+_ITEMS = f"""{_FIELDS}, i as (select user_id, coalesce(min(p) filter (field in ('error', 'signup')), min(p) filter (kind <> 'quote')) as score,
+    coalesce(arg_min(field, (p, field)) filter (field in ('error', 'signup')), arg_min(field, (p, field)) filter (kind <> 'quote')) as weakest_field from g group by 1)"""
+
+
+def _token_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "click", "quote").when(F.col("event_type").isin("error", "view"), "decision").otherwise("content")
+    return table(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("field"), kind.alias("kind"), F.col("event_type").alias("token"), (-F.col("value") / 200).alias("logprob"), "ts", "event_id")
+
+
+def _fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confidence.score_fields(_token_view(spark, sf_dir), ["user_id", "field"], ["ts", "event_id"])
+
+
+@query(f"with {_FIELDS} select user_id, field, p, round(mean, 4) as mean_logprob, round(least, 4) as min_logprob, tokens from g")
+def field_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Field scores from token log-probabilities."""
+    return _fields(spark, sf_dir).select("user_id", "field", "p", "mean_logprob", "min_logprob", "tokens")
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confidence.score_items(_fields(spark, sf_dir), ["user_id"], _CORE, order="field")
+
+
+@query(f"with {_ITEMS} select user_id, score, weakest_field from i")
+def item_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weakest core field of each item."""
+    return _items(spark, sf_dir).select("user_id", "score", "weakest_field")
+
+
+@query(f"with {_ITEMS} select count_if(score >= 0.9) as high, count_if(score >= 0.6 and score < 0.9) as medium, count_if(score < 0.6) as low, count_if(score is null) as unscored from i")
+def bucket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket counts with zeros."""
+    return confidence.bucket_counts(_items(spark, sf_dir).withColumn("bucket", confidence.bucket(F.col("score"))), [])
+
+
+@query(f"with {_ITEMS} select weakest_field, count(*) as n from i where score < 0.9 group by 1")
+def weakest_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which fields limit items."""
+    return _items(spark, sf_dir).where(F.col("score") < confidence.HIGH).groupBy("weakest_field").agg(F.count("*").alias("n"))
+
+
+@query(f"""with {_ITEMS}, e as (select user_id as id, user_id % 50 as subject, user_id % 70 as object, score as own from i), x as (select e.*, a.score as s, b.score as o from e left join i a on a.user_id = e.subject left join i b on b.user_id = e.object)
+    select id, least(own, s, o) as score, own as edge_score, case when own is null then null when own <= coalesce(s, 2) and own <= coalesce(o, 2) then 'edge' when coalesce(o, 2) <= coalesce(s, 2) then 'object' else 'subject' end as limited_by from x""")
+def claim_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims limited by their own score or an endpoint's."""
+    items = _items(spark, sf_dir)
+    edges = items.select(F.col("user_id").alias("id"), (F.col("user_id") % 50).alias("subject"), (F.col("user_id") % 70).alias("object"), "score")
+    return confidence.claim_scores(edges, items.select(F.col("user_id").alias("id"), "score"), []).select("id", "score", "edge_score", "limited_by")
+
+
+@query(f"with {_TOKENS} select user_id, round(exp(-avg(lp)), 4) as perplexity from t group by 1")
+def perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of each item's tokens."""
+    return _token_view(spark, sf_dir).groupBy("user_id").agg(confidence.perplexity("logprob").alias("perplexity"))
+
+
+@query("""with a as (select event_id, exp(greatest(-value / 50 - 0.7, -100)) as p, exp(greatest(-value / 20 - 1.4, -100)) as q from events), b as (select *, greatest(0, 1 - p - q) as r from a)
+    select event_id, round(case when p > 0 then -p * ln(p) else 0 end + case when q > 0 then -q * ln(q) else 0 end + case when r > 0 then -r * ln(r) else 0 end, 4) as entropy from b""")
+def entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entropy over alternatives, the rest as one outcome."""
+    top = F.array(F.array(-F.col("value") / 50 - 0.7, -F.col("value") / 20 - 1.4))
+    return table(spark, sf_dir, "events").select("event_id", confidence.entropy(top).alias("entropy"))
+
+
+_WINDOWS = f"""{_TOKENS}, r as (select user_id % 20 as item, lp, row_number() over (partition by user_id % 20 order by ts, event_id) - 1 as i, count(*) over (partition by user_id % 20) as n from t),
+    w as (select *, avg(lp) over (partition by item order by i rows between current row and 47 following) as mean from r)"""
+
+
+def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confidence.surprise_windows(_token_view(spark, sf_dir).withColumn("item", F.col("user_id") % 20), ["item"], ["ts", "event_id"])
+
+
+@query(f"with {_WINDOWS} select item, i as start, least(i + 48, n) as finish, round(mean, 6) as mean from w where i % 24 = 0 and i <= greatest(n - 48, 0)")
+def surprise_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding token windows."""
+    return _windows(spark, sf_dir).withColumn("mean", F.round("mean", 6))
+
+
+@query()
+def top_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most surprising windows without overlaps."""
+    return confidence.top_passages(_windows(spark, sf_dir), ["item"])
+
+
+@query(f"with {_ITEMS}, s as (select user_id, user_id % 10 as doc, score, weakest_field from i), r as (select *, row_number() over (partition by doc order by score, user_id) as rank from s) select doc, user_id, score, rank from r where rank <= 25")
+def review_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What to review first in each document."""
+    rows = _items(spark, sf_dir).withColumn("doc", F.col("user_id") % 10)
+    return matching.top_matches(rows, "doc", [F.asc("score"), F.asc("user_id")], 25).select("doc", "user_id", "score", "rank")
+
+
+@query(f"""with {_ITEMS}, {_WITNESS.replace('f as (', 'f2 as (').replace(' from f union', ' from f2 union').replace('anti join f on', 'anti join f2 on').replace('f.graph_ord', 'f2.graph_ord').replace('f.witness', 'f2.witness').replace('f.w_id', 'f2.w_id').replace(' t as (', ' t2 as (').replace('from t)', 'from t2)').replace('anti join t on', 'anti join t2 on').replace('t.graph_ord and', 't2.graph_ord and').replace('= t.witness', '= t2.witness').replace('= t.w_id', '= t2.w_id').replace('st2.', 'st.')}, x as (select ss.status, case when i.score >= 0.9 then 'high' when i.score >= 0.6 then 'medium' when i.score is null then 'unscored' else 'low' end as bucket from ss join i on i.user_id = ss.graph_ord)
+    select status, count_if(bucket = 'high') as high, count_if(bucket = 'medium') as medium, count_if(bucket = 'low') as low, count_if(bucket = 'unscored') as unscored from x group by 1""")
+def status_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agreement against confidence."""
+    items = _items(spark, sf_dir).select(F.col("user_id").alias("graph_ord"), confidence.bucket(F.col("score")).alias("bucket"))
+    return confidence.bucket_counts(_statuses(spark, sf_dir).join(items, "graph_ord"), ["status"])
+
+
+# Documents, resumption, tallies --------------------------------------------------------------------------------
+
+
+@query("select c_custkey from customer where c_custkey not in (select o_custkey from orders)")
+def resume_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that no finished row covers."""
+    done = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return incremental.not_done(table(spark, sf_dir, "customer"), done, "c_custkey").select("c_custkey")
+
+
+@query("select d.doc_id, coalesce(case when d.doc_id % 2 = 0 then d.lang end, l.quality::varchar) as lang from documents d left join labels l using (doc_id)")
+def carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Empty columns filled from an earlier table."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("lang"))
+    old = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("string").alias("lang"))
+    return incremental.carry_forward(docs, old, "doc_id", ["lang"])
+
+
+@query("select o_orderstatus as status, count(*) as n from orders group by 1")
+def tally_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by status."""
+    return table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
+
+
+@query("select conv_id, string_agg(coalesce(text, ''), '' order by turn) as text, max(role) filter (turn = last) as finish_reason from (select *, max(turn) over (partition by conv_id) as last from conversations) group by 1")
+def stream_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: streamed pieces put together in order."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("delta"), F.col("role").alias("finish_reason"))
+    return incremental.reassemble(rows, "conv_id", "turn").select("conv_id", "text", "finish_reason")
+
+
+@query()
+def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of documents whose lines starting with a capital T count as headings."""
+    marked = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", "(?m)^(T[^\n]{0,40})$", "## $1").alias("text"))
+    return chunking.sections(marked).drop("section_text")
+
+
+@query()
+def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentence spans of whole texts."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.sentence_spans(F.coalesce("text", F.lit("")))).alias("sentence_no", "span")).select("doc_id", "sentence_no", "span.start", "span.end")
+
+
+@query()
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of at most 4000 characters with an overlap of 400, with exact offsets."""
+    return chunking.chunks(table(spark, sf_dir, "documents"))
+
 
 def queries():
-    return {}
+    return dict(_QUERIES)
 
 
-def oracle_sql():
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(_ORACLES)
