@@ -505,7 +505,7 @@ def witness_node_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Confidence ----------------------------------------------------------------------------------------------------
 
-_TOKENS = "t as (select user_id, event_type as field, ts, event_id, -value / 200 as lp, event_type as token, case event_type when 'click' then 'quote' when 'error' then 'decision' when 'view' then 'decision' else 'content' end as kind from events)"
+_TOKENS = "t as (select user_id, event_type as field, ts, event_id, -value / 190 as lp, event_type as token, case event_type when 'click' then 'quote' when 'error' then 'decision' when 'view' then 'decision' else 'content' end as kind from events)"
 _FIELDS = f"{_TOKENS}, f as (select user_id, field, kind, sum(lp) as joint, sum(lp) / count(*) as mean, min(lp) as least, count(*) as tokens from t group by all), g as (select *, round(case when kind = 'decision' then exp(greatest(joint, -100)) else exp(greatest(mean, -100)) end, 4) as p from f)"
 _CORE = ["error", "signup"]
 _ITEMS = f"""{_FIELDS}, i as (select user_id, coalesce(min(p) filter (field in ('error', 'signup')), min(p) filter (kind <> 'quote')) as score,
@@ -514,7 +514,7 @@ _ITEMS = f"""{_FIELDS}, i as (select user_id, coalesce(min(p) filter (field in (
 
 def _token_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("event_type") == "click", "quote").when(F.col("event_type").isin("error", "view"), "decision").otherwise("content")
-    return table(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("field"), kind.alias("kind"), F.col("event_type").alias("token"), (-F.col("value") / 200).alias("logprob"), "ts", "event_id")
+    return table(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("field"), kind.alias("kind"), F.col("event_type").alias("token"), (-F.col("value") / 190).alias("logprob"), "ts", "event_id")
 
 
 def _fields(spark: SparkSession, sf_dir: str) -> DataFrame:
