@@ -32,7 +32,7 @@ _TOKEN = r"[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]"
 def escaped(text, role: bool = False):
     """The text with its control strings broken by backslashes."""
     safe = F.regexp_replace(text, _CONTROL, r"$1\\")
-    return F.regexp_replace(safe, "\n", "\\\\\\\\\n") if role else safe
+    return F.regexp_replace(safe, "\n", "\\\\\n") if role else safe
 
 
 def unescaped(text):

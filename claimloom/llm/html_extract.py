@@ -44,7 +44,7 @@ _BOILERPLATE_WORDS = frozenset(
     " recommended recommendations widget widgets toolbar pagination pager copyright legal disclaimer contentinfo complementary search hidden skip tags".split()
 )
 _HEADER_WORDS = frozenset("header head masthead".split())
-_MARK = re.compile(r"<!--(?:>|->|.*?(?:-->|\Z))|<[!?][^>]*>?|</?[a-zA-Z](?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*>|</?[a-zA-Z][^<>]*>", re.DOTALL)
+_MARK = re.compile(r"<!--(?:>|->|.*?(?:-->|\Z))|<[!?][^>]*>?|</?[a-zA-Z](?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*>|</?[a-zA-Z][^<>]*(?:>|\Z)", re.DOTALL)
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.IGNORECASE)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
