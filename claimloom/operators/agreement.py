@@ -13,18 +13,29 @@ COMBINED_DISCOUNT = 0.9
 RANK = {"missing": 0, "conflict": 1, "agrees": 2}
 
 
-def _alike(x: Column, y: Column) -> Column:
-    return containment_score(plain_tokens(x), plain_tokens(y))
-
-
-def node_similarity(p_term: Column, p_attribute: Column, w_term: Column, w_attribute: Column, floor: float = MIN_SCORE) -> Column:
-    """How likely two nodes are one variable, from their terms and attributes."""
-    identifier = F.coalesce(looks_like_identifier(p_term), F.lit(False)) | F.coalesce(looks_like_identifier(w_term), F.lit(False))
-    absent = F.coalesce(p_term == "", F.lit(True)) | F.coalesce(w_term == "", F.lit(True))
-    term = F.when(absent, 0.0).when(norm(p_term) == norm(w_term), 1.0).when(identifier, 0.0).otherwise(_alike(p_term, w_term))
-    x, y = norm(p_attribute), norm(w_attribute)
-    attribute = F.when(x == y, 1.0).when((x == "") | (y == ""), floor).otherwise(_alike(x, y))
-    both = F.when(identifier, 0.0).otherwise(COMBINED_DISCOUNT * _alike(F.concat_ws(" ", norm(p_term), x), F.concat_ws(" ", norm(w_term), y)))
+_FEATURES = ("term", "attribute", "term_words", "attribute_words", "both_words", "identifier")
+
+
+def _features(df: DataFrame, side: str, keep: list[str], keys: list[str]) -> DataFrame:
+    """What similarity needs of a node, computed once a node rather than once a pair."""
+    term, attribute = norm(F.col("entity_term")), norm(F.col("measured_attribute"))
+    words = df.select(
+        *keys, *[F.col(c).alias(f"{side}_{c}") for c in keep], term.alias(f"{side}_term"), attribute.alias(f"{side}_attribute"),
+        plain_tokens(F.col("entity_term")).alias(f"{side}_term_words"), plain_tokens(attribute).alias(f"{side}_attribute_words"),
+        plain_tokens(F.concat_ws(" ", term, attribute)).alias(f"{side}_both_words"), F.coalesce(looks_like_identifier(F.col("entity_term")), F.lit(False)).alias(f"{side}_identifier"),
+    )
+    return words
+
+
+def node_similarity(floor: float = MIN_SCORE) -> Column:
+    """How likely two nodes are one variable, from the features p_... and w_... of a pair."""
+    f = {f"{s}_{c}": F.col(f"{s}_{c}") for s in "pw" for c in _FEATURES}
+    identifier = f["p_identifier"] | f["w_identifier"]
+    absent = (f["p_term"] == "") | (f["w_term"] == "")
+    term = F.when(absent, 0.0).when(f["p_term"] == f["w_term"], 1.0).when(identifier, 0.0).otherwise(containment_score(f["p_term_words"], f["w_term_words"]))
+    x, y = f["p_attribute"], f["w_attribute"]
+    attribute = F.when(x == y, 1.0).when((x == "") | (y == ""), floor).otherwise(containment_score(f["p_attribute_words"], f["w_attribute_words"]))
+    both = F.when(identifier, 0.0).otherwise(COMBINED_DISCOUNT * containment_score(f["p_both_words"], f["w_both_words"]))
     return F.greatest(F.least(term, attribute), both)
 
 
@@ -34,13 +45,17 @@ def map_nodes(primary: DataFrame, witness: DataFrame, keys: list[str], compared:
     Nodes: keys, ord, id, entity_term, measured_attribute and the compared fields. Candidates share the folded
     term or a token of term or attribute; equal scores go to fewer conflicts, then to the first primary node.
     """
-    words = F.array_union(plain_tokens(F.concat_ws(" ", "entity_term", "measured_attribute")), F.array(F.concat(F.lit("="), norm(F.col("entity_term")))))
-    side = lambda df, s: df.select(*keys, *[F.col(c).alias(f"{s}_{c}") for c in ("ord", "id", "entity_term", "measured_attribute", *compared)], F.explode(words).alias("_word"))
-    pairs = side(primary, "p").join(side(witness, "w"), [*keys, "_word"]).drop("_word").distinct()
-    score = node_similarity(F.col("p_entity_term"), F.col("p_measured_attribute"), F.col("w_entity_term"), F.col("w_measured_attribute"), min_score)
+    keep = ["ord", "id", *compared]
+
+    def blocked(df: DataFrame, side: str) -> DataFrame:
+        rows = _features(df, side, keep, keys)
+        return rows.select(*keys, F.col(f"{side}_id").alias(f"{side}_key"), F.explode(F.array_union(F.col(f"{side}_both_words"), F.array(F.concat(F.lit("="), F.col(f"{side}_term"))))).alias("_word"))
+
+    met = blocked(primary, "p").join(blocked(witness, "w"), [*keys, "_word"]).select(*keys, "p_key", "w_key").distinct()
+    pairs = met.join(_features(primary, "p", keep, keys).withColumn("p_key", F.col("p_id")), [*keys, "p_key"]).join(_features(witness, "w", keep, keys).withColumn("w_key", F.col("w_id")), [*keys, "w_key"])
     conflicts = sum((F.coalesce((F.col(f"p_{c}") != F.col(f"w_{c}")).cast("int"), F.lit(0)) for c in compared), F.lit(0))
     order = Window.partitionBy(*keys, "w_id").orderBy(F.desc("score"), "conflicts", "p_ord")
-    scored = pairs.withColumn("score", score).withColumn("conflicts", conflicts).where(F.col("score") >= min_score)
+    scored = pairs.withColumn("score", node_similarity(min_score)).withColumn("conflicts", conflicts).where(F.col("score") >= min_score)
     return scored.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").select(*keys, F.col("w_id").alias("witness_id"), F.col("p_id").alias("primary_id"), "score", "conflicts")
 
 

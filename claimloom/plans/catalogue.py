@@ -411,13 +411,18 @@ def reconcile_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.reconcile(*_sides(spark, sf_dir)).where("rule = 'identity'").select("new_id", "existing_id")
 
 
-@query(f"""with {_SIDES}, x as (select distinct n.id from n join e using (entity_term, measured_attribute, qualifier, entity_type)),
+_ANCHORS = _SIDES.replace("n as (select *", "n as (select * replace (measured_attribute || ' level' as measured_attribute)", 1)
+
+
+@query(f"""with {_ANCHORS}, x as (select distinct n.id from n join e using (entity_term, measured_attribute, qualifier, entity_type)),
     a as (select n.id as new_id, e.id as existing_id, {s_plain('n.measured_attribute')} as p, {s_plain('e.measured_attribute')} as q from n join e on n.entity_term = e.entity_term and n.qualifier = e.qualifier and n.entity_type = e.entity_type where n.id not in (select id from x)),
     s as (select new_id, existing_id, {s_containment('p', 'q')} as score from a), r as (select *, row_number() over (partition by new_id order by score desc, existing_id) as i from s where score >= 0.5)
     select new_id, existing_id, round(score, 3) as score from r where i = 1""")
 def reconcile_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal anchors and alike attributes, the first best wins."""
-    found = reconcile.reconcile(*_sides(spark, sf_dir), min_score=0.5).where("rule <> 'identity'")
+    new, existing = _sides(spark, sf_dir)
+    new = new.withColumn("measured_attribute", F.concat("measured_attribute", F.lit(" level")))
+    found = reconcile.reconcile(new, existing, min_score=0.5).where("rule <> 'identity'")
     return found.select("new_id", "existing_id", F.round("score", 3).alias("score"))
 
 
@@ -505,7 +510,7 @@ def witness_node_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Confidence ----------------------------------------------------------------------------------------------------
 
-_TOKENS = "t as (select user_id, event_type as field, ts, event_id, -value / 190 as lp, event_type as token, case event_type when 'click' then 'quote' when 'error' then 'decision' when 'view' then 'decision' else 'content' end as kind from events)"
+_TOKENS = "t as (select user_id, event_type as field, ts, event_id, -value / 193 as lp, event_type as token, case event_type when 'click' then 'quote' when 'error' then 'decision' when 'view' then 'decision' else 'content' end as kind from events)"
 _FIELDS = f"{_TOKENS}, f as (select user_id, field, kind, sum(lp) as joint, sum(lp) / count(*) as mean, min(lp) as least, count(*) as tokens from t group by all), g as (select *, round(case when kind = 'decision' then exp(greatest(joint, -100)) else exp(greatest(mean, -100)) end, 4) as p from f)"
 _CORE = ["error", "signup"]
 _ITEMS = f"""{_FIELDS}, i as (select user_id, coalesce(min(p) filter (field in ('error', 'signup')), min(p) filter (kind <> 'quote')) as score,
@@ -514,7 +519,7 @@ _ITEMS = f"""{_FIELDS}, i as (select user_id, coalesce(min(p) filter (field in (
 
 def _token_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("event_type") == "click", "quote").when(F.col("event_type").isin("error", "view"), "decision").otherwise("content")
-    return table(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("field"), kind.alias("kind"), F.col("event_type").alias("token"), (-F.col("value") / 190).alias("logprob"), "ts", "event_id")
+    return table(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("field"), kind.alias("kind"), F.col("event_type").alias("token"), (-F.col("value") / 193).alias("logprob"), "ts", "event_id")
 
 
 def _fields(spark: SparkSession, sf_dir: str) -> DataFrame:
