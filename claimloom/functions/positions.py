@@ -1,0 +1,120 @@
+"""Places in replies: JSON values with their character spans, and tokens aligned to the text they spell."""
+
+from __future__ import annotations
+
+import json
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+_SPACE = " \t\n\r"
+
+
+class _Parser:
+    """A strict JSON reader that notes the half-open span of every value under its path."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.found = text, []
+
+    def _skip(self, at: int) -> int:
+        while at < len(self.text) and self.text[at] in _SPACE:
+            at += 1
+        return at
+
+    def value(self, at: int, path: str) -> int:
+        text = self.text
+        at = self._skip(at)
+        place = len(self.found)
+        self.found.append(None)
+        start = at
+        opener = text[at : at + 1]
+        if opener in ("{", "["):
+            closer, number = ("}", None) if opener == "{" else ("]", 0)
+            at = self._skip(at + 1)
+            while text[at : at + 1] != closer:
+                if number is None:
+                    name, at = json.decoder.scanstring(text, self._expect(at, '"'), True)
+                    at = self.value(self._expect(self._skip(at), ":"), f"{path}.{name}" if path else name)
+                else:
+                    at = self.value(at, f"{path}[{number}]")
+                    number += 1
+                at = self._skip(at)
+                if text[at : at + 1] == ",":
+                    at = self._skip(at + 1)
+                    if text[at : at + 1] == closer:
+                        raise ValueError("trailing comma")
+                elif text[at : at + 1] != closer:
+                    raise ValueError("expected a comma")
+            at += 1
+        elif opener == '"':
+            _, at = json.decoder.scanstring(text, at + 1, True)
+        else:
+            _, at = json.JSONDecoder().raw_decode(text, at)
+        self.found[place] = (path, start, at)
+        return at
+
+    def _expect(self, at: int, mark: str) -> int:
+        if self.text[at : at + 1] != mark:
+            raise ValueError(f"expected {mark}")
+        return at + 1
+
+
+def json_spans(reply: str | None, attempts: int = 50) -> list[tuple[str, int, int]]:
+    """(path, start, end) of the values of the first JSON object behind the last thought; none if there is none."""
+    text = reply or ""
+    at = text.rfind("</think>")
+    at = 0 if at < 0 else at + len("</think>")
+    for _ in range(attempts):
+        at = text.find("{", at)
+        if at < 0:
+            return []
+        parser = _Parser(text)
+        try:
+            parser.value(at, "")
+        except (ValueError, RecursionError):
+            at += 1
+            continue
+        return parser.found
+    return []
+
+
+def align_tokens(tokens: list[str], text: str, from_end: bool = False) -> list[tuple[int, int] | None]:
+    """The span in text that each token spells; None for tokens outside of it.
+
+    If the tokens joined hold the text it is found at once; else tokens are followed one by one and what does not
+    stand next is looked for a little further on.
+    """
+    joined = "".join(tokens)
+    begin = (joined.rfind(text) if from_end else joined.find(text)) if text else -1
+    spans: list[tuple[int, int] | None] = []
+    if begin >= 0:
+        at = -begin
+        for token in tokens:
+            start, end = max(at, 0), min(at + len(token), len(text))
+            spans.append((start, end) if end > start else None)
+            at += len(token)
+        return spans
+    at = misses = 0
+    for token in tokens:
+        place = text.find(token, at, at + 64 + len(token)) if token and misses < 32 else -1
+        if place < 0:
+            misses += bool(token)
+            spans.append(None)
+        else:
+            spans.append((place, place + len(token)))
+            at, misses = place + len(token), 0
+    return spans
+
+
+def reply_values(replies: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, path, start, end, value) of every JSON value in the replies."""
+
+    def spans(batches):
+        for batch in batches:
+            rows = [(k, p, s, e, t[s:e]) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for p, s, e in json_spans(t)]
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = [batch.column(0).type, pa.string(), pa.int32(), pa.int32(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [key, "path", "start", "end", "value"])
+
+    kind = dict(replies.dtypes)[key]
+    return replies.select(key, text).mapInArrow(spans, f"{key} {kind}, path string, start int, end int, value string")

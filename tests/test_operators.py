@@ -244,3 +244,56 @@ def test_incremental(spark, tmp_path):
         batch.write.mode("append").parquet(source)
         incremental.merge_new_files(spark, source, "k string, v string", target, str(tmp_path / "cp"), ["k"]).awaitTermination()
     assert sorted(r["k"] for r in spark.read.parquet(target).collect()) == ["a", "b", "c"]
+
+
+def test_grounding(spark):
+    from claimloom.operators import grounding
+
+    terms = spark.createDataFrame([("soil salinity",), ("grubbing",), ("very old soil salinity",), ("Mosquito",), ("ENVO:9",), ("nothing here",)], "term string")
+    local = spark.createDataFrame([("L:1", "salinity of soil", []), ("L:2", "grubbing process", ["clearing"])], "curie string, label string, synonyms array<string>")
+    other = spark.createDataFrame([("O:1", "soil salinity", [])], "curie string, label string, synonyms array<string>")
+    overrides = spark.createDataFrame([(" MOSQUITO", "T:1", "Culicidae")], "term string, curie string, label string")
+    rows = grounding.ground_terms(terms, [(0, local), (1, other)], overrides)
+    found = {r["term"]: (r["curie"], r["via"]) for r in rows.collect()}
+    assert found == {"soil salinity": ("L:1", "phrase"), "grubbing": ("L:2", "phrase"), "very old soil salinity": ("L:1", "tail"), "Mosquito": ("T:1", "override")}
+    counts = grounding.grounding_counts(terms, rows).head()
+    assert (counts["terms"], counts["identifiers"], counts["matched"], counts["missed"], counts["tail"]) == (6, 1, 4, 1, 1)
+    assert {r["term"] for r in grounding.ground_column(terms, rows, "term").collect()} >= {"L:1", "T:1", "ENVO:9"}
+
+
+def test_schema_compiler(spark):
+    from claimloom.sources.schema import compile_schema, interpolate
+
+    profile = compile_schema({
+        "enums": {"Kind": {"permissible_values": {"taxon": {}, "process": {}}}},
+        "slots": {"id": {"identifier": True, "required": True}, "weight": {"range": "float", "minimum_value": -1, "maximum_value": 1}},
+        "classes": {"Base": {"slots": ["id"]}, "Node": {"is_a": "Base", "attributes": {"kind": {"range": "Kind", "ifabsent": "string(taxon)"}, "part_of": {"range": "Node", "multivalued": True}}}, "Edge": {"slots": ["id", "weight"], "attributes": {"to": {"range": "Node"}}}},
+    })
+    assert profile.struct("Node").simpleString() == "struct<id:string,kind:string,part_of:array<string>>" and profile.reachable("Edge") == ["Edge", "Node"]
+    edges = spark.createDataFrame([(0, "a", 0.5), (0, None, 2.0)], "graph_ord int, id string, weight double")
+    assert sorted(r["rule"] for r in validate.check_rules(edges, profile.checks("Edge")).collect()) == ["id: required", "weight: maximum"]
+    assert interpolate({"a": ["${X:-d}", "${Y}z"]}, {"Y": "1"}) == {"a": ["d", "1z"]}
+
+
+def test_json_positions_and_alignment(spark):
+    from claimloom.functions.positions import align_tokens, json_spans, reply_values
+
+    text = '<think>{"no"</think> so { {"a": [1, {"b": "x\\"y"}], "c": null}'
+    spans = {p: text[s:e] for p, s, e in json_spans(text)}
+    assert spans["a[1].b"] == '"x\\"y"' and spans["c"] == "null" and spans["a[0]"] == "1"
+    assert json_spans('{"a": 1,}') == [] and json_spans(None) == []
+    assert align_tokens(["x", "He", "llo", "!"], "Hello") == [None, (0, 2), (2, 5), None]
+    assert align_tokens(["He", "##", "lo"], "Hello") == [(0, 2), None, (3, 5)]
+    rows = reply_values(spark.createDataFrame([(1, text), (2, None)], "reply int, text string"), "reply").collect()
+    assert len(rows) == 6 and {r["reply"] for r in rows} == {1}
+
+
+def test_replies_become_graphs(spark):
+    from claimloom.operators import extract
+
+    reply = {"nodes": [{"id": "n1", "name": "Rain", "entity_term": "rain", "junk": 1}, {"name": "Flood", "entity_term": "flood"}], "edges": [{"subject": "n1", "object": "Flood", "predicate": "causes"}, {"subject": "n1", "object": "gone", "predicate": "causes"}]}
+    parsed = extract.parsed_replies(spark.createDataFrame([(7, "```json\n" + json.dumps(reply) + "\n```"), (8, "no")], "chunk int, text string"), "chunk")
+    found = extract.normalized_graph(parsed, "chunk")
+    ids = {r["name"]: r["id"] for r in found["nodes"].collect()}
+    assert ids["Rain"] == "n1" and ids["Flood"].startswith("camo:node_")
+    assert [(r["subject"], r["object"]) for r in found["edges"].collect()] == [("n1", ids["Flood"])] and found["dropped"].count() == 1
