@@ -297,3 +297,23 @@ def test_replies_become_graphs(spark):
     ids = {r["name"]: r["id"] for r in found["nodes"].collect()}
     assert ids["Rain"] == "n1" and ids["Flood"].startswith("camo:node_")
     assert [(r["subject"], r["object"]) for r in found["edges"].collect()] == [("n1", ids["Flood"])] and found["dropped"].count() == 1
+
+
+def test_corpus_run_is_incremental_and_gated(spark, tmp_path):
+    from claimloom.plans import stages
+
+    graph = lambda a, b: json.dumps({"nodes": [{"id": "n1", "name": a, "entity_term": a}, {"id": "n2", "name": b, "entity_term": b}], "edges": [{"subject": "n1", "object": "n2", "predicate": "causes"}]})
+    docs = spark.createDataFrame([(1, "One. Two."), (2, "Three.")], "doc_id int, text string")
+    replies = spark.createDataFrame([(1, graph("Rain", "Flood")), (2, graph("rain ", "Loss | x"))], "doc_id int, text string")
+    folder = str(tmp_path / "run")
+    first = stages.run_corpus(spark, folder, docs.limit(1), replies.where("doc_id = 1"))
+    assert first["nodes"].count() == 2
+    both = stages.run_corpus(spark, folder, docs, replies)
+    assert both["nodes"].count() == 3 and both["edges"].count() == 2 and both["chunks"].count() == 2
+    version = stages.write_back(spark, str(tmp_path / "merged"), both["nodes"], both["edges"])
+    nodes, edges = stages.current(spark, str(tmp_path / "merged"))
+    assert version and nodes.count() == 3 and edges.count() == 2
+    with pytest.raises(ValueError):
+        stages.write_back(spark, str(tmp_path / "merged"), both["nodes"].limit(1), both["edges"])
+    assert stages.current(spark, str(tmp_path / "merged"))[0].count() == 3
+    assert "Loss \\| x" in stages.markdown_table(nodes, ["entity_term"], ["entity_term"])
