@@ -102,3 +102,12 @@ def top_passages(windows: DataFrame, keys: list[str], kept: int = KEPT) -> DataF
     free = lambda chosen, x: F.forall(chosen, lambda c: (x["finish"] <= c["start"]) | (x["start"] >= c["finish"]))
     chosen = F.aggregate("w", start, lambda a, x: F.when((F.size(a) < kept) & free(a, x), F.concat(a, F.array(x))).otherwise(a))
     return listed.select(*keys, F.posexplode(chosen).alias("place", "p")).select(*keys, (F.col("place") + 1).alias("rank"), "p.start", "p.finish", F.round(F.exp(-F.col("p.mean")), 2).alias("perplexity"))
+
+
+def overlap_average(tokens: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, span_id, tokens, mean) of the tokens that overlap each span, both half-open, within the keys.
+
+    The keys (a chunk or document) are an equi-join, so the range condition only meets tokens of the same text.
+    """
+    met = spans.join(tokens, keys).where("start < span_end and finish > span_start")
+    return met.groupBy(*keys, "span_id").agg(F.count("*").alias("tokens"), F.avg("logprob").alias("mean"))

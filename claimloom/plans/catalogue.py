@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.identity import EDGE_PREFIX, node_id, stable_id
-from ..operators import agreement, chunking, confidence, matching, merge, normalize, reconcile, validate
+from ..operators import agreement, chunking, confidence, grounding, matching, merge, normalize, reconcile, validate
 from ..streaming import incremental
 from .views import claims, claims_sql, mentions, mentions_sql, table
 
@@ -210,6 +210,29 @@ def dangling_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.lit(False).alias("dangling")).unionByName(dropped.select(F.lit(True).alias("dangling"))).groupBy("dangling").agg(F.count("*").alias("edges"))
 
 
+_RESOLVED = f"""n as (select graph_ord, item_ord, 'r' || (item_ord % 3) as raw_id, 'i' || item_ord as id, name from ({mentions_sql()}) v),
+    l as (select graph_ord, raw_id as key, arg_max(id, item_ord) as id, 1 as p from n group by 1, 2 union all select graph_ord, id, id, 2 from n union all select graph_ord, name, arg_min(id, item_ord), 3 from n group by 1, 2),
+    k as (select graph_ord, key, arg_min(id, p) as id from l group by 1, 2)"""
+
+
+@query(f"with {_RESOLVED} select n.graph_ord, item_ord, coalesce(a.id, n.raw_id) as subject, coalesce(b.id, case when item_ord % 2 = 0 then n.name else 'none' end) as object from n left join k a on a.graph_ord = n.graph_ord and a.key = n.raw_id left join k b on b.graph_ord = n.graph_ord and b.key = case when item_ord % 2 = 0 then n.name else 'none' end")
+def resolve_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Endpoints given by original id or by name."""
+    label = lambda p, x: F.concat(F.lit(p), x.cast("string"))
+    nodes = mentions(spark, sf_dir).select("graph_ord", "item_ord", label("r", F.col("item_ord") % 3).alias("raw_id"), label("i", F.col("item_ord")).alias("id"), "name")
+    edges = nodes.select("graph_ord", "item_ord", F.col("raw_id").alias("subject"), F.when(F.col("item_ord") % 2 == 0, F.col("name")).otherwise("none").alias("object"))
+    return normalize.resolve_endpoints(edges, nodes, ["subject", "object"]).select("graph_ord", "item_ord", "subject", "object")
+
+
+@query()
+def ground_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part types grounded in part names, with synonyms, routes, overrides and tails."""
+    terms, vocabulary = _terms(spark, sf_dir)
+    vocabulary = vocabulary.withColumn("synonyms", F.array(F.concat("label", F.lit(" process"))))
+    overrides = spark.createDataFrame([("small tin", "OVERRIDE", "small tin")], "term string, curie string, label string")
+    return grounding.ground_terms(terms, [(0, vocabulary)], overrides, min_score=0.3)
+
+
 # Text functions ------------------------------------------------------------------------------------------------
 
 
@@ -597,6 +620,18 @@ def top_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confidence.top_passages(_windows(spark, sf_dir), ["item"])
 
 
+@query("""with t as (select user_id, event_id, -value / 193 as lp, 10 * (row_number() over (partition by user_id order by ts, event_id) - 1) as start from events),
+    q as (select user_id, k as span_id, 35 * k as b, 35 * k + 20 as e from (select distinct user_id from events), (values (0), (1), (2)) v(k))
+    select q.user_id, span_id, count(*) as tokens, round(avg(lp), 4) as mean from q join t on q.user_id = t.user_id and start < e and start + 10 > b group by 1, 2""")
+def span_surprise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean over the tokens that overlap a span."""
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1
+    tokens_ = _token_view(spark, sf_dir).select("user_id", "logprob", (10 * place).alias("start")).withColumn("finish", F.col("start") + 10)
+    k = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("span_id")
+    spans = table(spark, sf_dir, "events").select("user_id").distinct().select("user_id", k).withColumns({"span_start": 35 * F.col("span_id"), "span_end": 35 * F.col("span_id") + 20})
+    return confidence.overlap_average(tokens_, spans, ["user_id"]).withColumn("mean", F.round("mean", 4))
+
+
 @query(f"with {_ITEMS}, s as (select user_id, user_id % 10 as doc, score, weakest_field from i), r as (select *, row_number() over (partition by doc order by score, user_id) as rank from s) select doc, user_id, score, rank from r where rank <= 25")
 def review_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What to review first in each document."""
