@@ -227,8 +227,8 @@ def _passes(a: str, b: str, t: Threshold):
     """
     c = lambda side, name: F.col(f"{side}.{name}").cast("bigint")
     small, large = F.least(c(a, "size"), c(b, "size")), F.greatest(c(a, "size"), c(b, "size"))
-    index = lambda n: n - F.floor((2 * t.num * n + t.num + t.den - 1) / (t.num + t.den)) + 1
-    within = ((c(a, "size") <= c(b, "size")) & (c(a, "pos") < index(c(a, "size")))) | ((c(b, "size") <= c(a, "size")) & (c(b, "pos") < index(c(b, "size"))))
+    needed = F.ceil((t.num * (small + large)) / (t.num + t.den))
+    within = (c(a, "pos") <= c(a, "size") - needed) & (c(b, "pos") <= c(b, "size") - needed)
     most = F.least(c(a, "place"), c(b, "place")) + F.least(c(a, "size") - c(a, "pos"), c(b, "size") - c(b, "pos"))
     behind = lambda side: F.floor((t.num * c(side, "size") + t.den - 1) / t.den) - 1
     met = F.least(c(a, "shared"), c(b, "shared")) + F.greatest(behind(a), behind(b))
