@@ -96,7 +96,6 @@ def surprise_windows(tokens: DataFrame, keys: list[str], order: list[str], windo
 def top_passages(windows: DataFrame, keys: list[str], kept: int = KEPT) -> DataFrame:
     """The most surprising windows that do not overlap one already chosen, by a fold over the sorted windows."""
     listed = windows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("mean", "start", "finish"))).alias("w"))
-    start = F.array().cast("array<struct<mean:double,start:int,finish:bigint>>")
     kind = dict(windows.dtypes)
     start = F.array().cast(f"array<struct<mean:double,start:{kind['start']},finish:{kind['finish']}>>")
     free = lambda chosen, x: F.forall(chosen, lambda c: (x["finish"] <= c["start"]) | (x["start"] >= c["finish"]))

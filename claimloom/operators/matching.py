@@ -7,8 +7,6 @@ through a token of their own.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,8 +53,6 @@ def one_to_one(candidates: DataFrame, score: str = "score") -> DataFrame:
     settle every left row whose choice no earlier open row can contest; each round settles at least one, and
     ties go to the smaller right_id.
     """
-    from pyspark.sql import SparkSession  # noqa: F401
-
     left = candidates
     settled: DataFrame | None = None
     while True:
@@ -94,6 +90,3 @@ def with_fallback(primary: DataFrame, *others: DataFrame, key: str = "term") ->
     for other in others:
         out = out.unionByName(other.join(out.select(key).distinct(), key, "left_anti"))
     return out
-
-
-Scorer = Callable[[], Column]
