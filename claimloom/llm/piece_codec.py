@@ -29,7 +29,9 @@ LONGEST = 48
 _MARK = "▁"
 _CACHE_WORDS = 600_000
 #: Larger slices give the recursion more words of one length at a time.
-_SLICE_BYTES = 1 << 22
+_SLICE_BYTES = 1 << 21
+_WORDS_AT_ONCE = 16_384
+_ROWS_AT_ONCE = 256
 _FAR = 1 << 30
 
 
@@ -244,10 +246,14 @@ class Encoder:
             new = np.flatnonzero(~known)
             raw = data.tobytes()
             words = [_MARK + raw[b:e].decode("utf-8", "replace").replace(" ", _MARK) for b, e in zip(begin[place[new]].tolist(), end[place[new]].tolist(), strict=True)]
-            found = self.model.encode_words(words)
-            length = np.array([len(x) for x in found], dtype=np.int64)
+            length = np.zeros(len(words), dtype=np.int64)
+            fresh = [self.ids]
+            for some in range(0, len(words), _WORDS_AT_ONCE):  # lists of Python integers are large: not all at once
+                found = self.model.encode_words(words[some : some + _WORDS_AT_ONCE])
+                length[some : some + len(found)] = [len(x) for x in found]
+                fresh.append(np.array([i for x in found for i in x], dtype=np.int32))
             here = len(self.ids) + np.cumsum(length) - length
-            self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], dtype=np.int32)])
+            self.ids = np.concatenate(fresh)
             merged = np.concatenate([self.keys, keys[new]])
             order = np.argsort(merged)
             self.keys = merged[order]
@@ -296,10 +302,9 @@ def decode_ids(coded: DataFrame, model_path: str, ids: str = "ids", text: str =
         sizes = np.array([len(x) for x in pieces], dtype=np.int64)
         begins, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(pieces), np.uint8)
         for batch in batches:
-            lists = batch.column(ids)
-            texts: list[str] = []
-            for first in range(0, len(lists), 256):
-                part = lists.slice(first, 256)
+            for first in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                rows = batch.slice(first, _ROWS_AT_ONCE)
+                part = rows.column(ids)
                 count = np.array([0 if x is None else x for x in part.value_lengths().to_pylist()], dtype=np.int64)
                 number = part.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
                 number = np.where((number >= 0) & (number < len(pieces)), number, 0)
@@ -307,8 +312,7 @@ def decode_ids(coded: DataFrame, model_path: str, ids: str = "ids", text: str =
                 total = np.cumsum(size)
                 data = flat[np.repeat(begins[number] - (total - size), size) + np.arange(total[-1] if len(total) else 0)].tobytes()
                 ends = np.append(0, total)[np.append(0, np.cumsum(count))].tolist()
-                for b, e in zip(ends[:-1], ends[1:], strict=True):
-                    texts.append(data[b + (data[b : b + 1] == b" ") : max(b, e)].decode("utf-8", "replace") if e > b else "")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text])
+                texts = [data[b + (data[b : b + 1] == b" ") : max(b, e)].decode("utf-8", "replace") if e > b else "" for b, e in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*rows.schema.names, text])
 
     return coded.mapInArrow(decode, StructType([*coded.schema.fields]).add(text, StringType()))
