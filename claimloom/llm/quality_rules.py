@@ -30,7 +30,8 @@ ORDER = 4
 LEAST_WORDS = 50
 BLOCK_ENTRIES = 4_000_000
 #: How many distances from the median to the quantile at one standard deviation a band reaches down and up.
-BAND_WIDTH = 8.0
+#: The README has the documents that several widths reject.
+BAND_WIDTH = 3.0
 BIN = 0.001
 _PAD = 2
 _SYMBOL = np.zeros(256, dtype=bool)

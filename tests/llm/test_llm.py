@@ -235,6 +235,20 @@ def test_rules_odd_rows(spark, odd):
     assert quality_rules.quality_rules(odd.limit(0)).count() == 0
 
 
+def test_rules_bands_reject_planted_junk(spark):
+    draw = np.random.default_rng(4)
+    parts = ["the", "an", "ti", "on", "er", "ing", "and", "re", "st", "ha", "nd", "ou", "sh", "wh"]
+    words = ["".join(draw.choice(parts, draw.integers(1, 4))) for _ in range(3000)]
+    texts = [" ".join(draw.choice(words, 150)) for _ in range(400)]
+    noise = lambda: "".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+    junk = [" ".join(noise() if k % 25 == 0 else w for k, w in enumerate(draw.choice(words, 150))) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts + junk)], "doc_id bigint, text string, lang string")
+    rows = quality_rules.quality_rules(docs).collect()
+    assert not any(r["base_failed"] for r in rows)
+    assert sum(r["doc_id"] >= len(texts) and not r["kept"] for r in rows) == len(junk)
+    assert sum(r["doc_id"] < len(texts) and r["kept"] for r in rows) >= 0.97 * len(texts)
+
+
 # 5
 
 
