@@ -24,17 +24,29 @@ def classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return with_scores(docs, vectors, network, "quality_score").where("quality_score >= 0.5").drop("quality_score")
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Every row with a number of its own, and that column's name; staged, as a row must keep its number when read again."""
+    row = "row"
+    while row.lower() in (c.lower() for c in docs.columns):
+        row += "_"
+    return staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
 def ruled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; of rows that repeat a doc_id all go if one is rejected."""
-    rejected = quality_rules(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """Rows that the quality rules keep, whatever their doc_ids."""
+    rows, row = _numbered(docs)
+    rejected = quality_rules(rows.select(F.col(row).alias("doc_id"), "text", "lang")).where("not kept").select(F.col("doc_id").alias(row))
+    return rows.join(rejected, row, "left_anti").select(*docs.columns)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id."""
-    kept = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """Of each group of near-duplicate rows the one with the smallest doc_id; null ids come last."""
+    rows, row = _numbered(docs)
+    component = jaccard_components(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "component_id")
+    ids = rows.select(row, "doc_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", row)).alias("first")
+    kept = component.join(ids, row).groupBy("component_id").agg(first).select(F.col(f"first.{row}").alias(row))
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -451,6 +451,22 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, SF).collect()} == kept[2]
 
 
+def test_pipeline_decides_by_row(spark):
+    import corpus_pipeline
+
+    clean = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(3)]
+    schema = "doc_id bigint, text string, lang string, row int"
+    docs = spark.createDataFrame([(None, "too short", "en", 0), (None, clean[0], "en", 1), (7, clean[1], "en", 2), (7, "too short", "en", 3), (7, clean[2], "en", 4)], schema)
+    ruled = corpus_pipeline.ruled(spark, docs, SF)
+    assert ruled.columns == docs.columns
+    assert {r["row"] for r in ruled.collect()} == {1, 2, 4}
+    docs = spark.createDataFrame([(7, clean[0], "en", 0), (7, clean[1], "en", 1), (None, clean[2], "en", 2), (None, clean[2], "en", 3), (None, clean[0], "en", 4), (3, clean[1] + " end", "en", 5)], schema)
+    found = corpus_pipeline.deduplicated(spark, docs, SF)
+    assert found.columns == docs.columns
+    rows = {r["row"] for r in found.collect()}
+    assert rows - {2, 3} == {0, 5} and len(rows & {2, 3}) == 1
+
+
 @needs_data
 def test_every_query_returns_its_columns(spark):
     first = {"op1": ["doc_id", "held_out", "score", "predicted"], "op6": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"], "op10": ["query_id", "rank", "vec_id", "score"]}
