@@ -33,9 +33,12 @@ _BLOCK = frozenset(
     "address article aside blockquote body caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " head header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br option".split()
 )
+#: Blocks that hold a piece of running text.
+_TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr pre blockquote caption figcaption summary br ul ol dl".split())
+_LISTS = frozenset("ul ol dl tr".split())
 _CLOSES_P = _BLOCK - frozenset("br caption dd dt li option summary tbody td tfoot th thead tr".split())
 _SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
-_BOILERPLATE_TAGS = frozenset("head script style noscript template svg math nav footer aside form button select textarea iframe object dialog menu title canvas audio video xmp datalist input label".split())
+_BOILERPLATE_TAGS = frozenset("head script style noscript template svg nav footer aside form button select textarea iframe object dialog menu title canvas audio video xmp datalist input".split())
 #: Class, id and role words of what is not the article (fixed values).
 _BOILERPLATE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising advertorial sponsor sponsored sponsors promo promotion promoted banner menu menus nav navbar navigation"
@@ -43,50 +46,97 @@ _BOILERPLATE_WORDS = frozenset(
     " newsletter subscribe subscription signup login register comment comments commentary disqus reply replies respond responses share sharing social related"
     " recommended recommendations widget widgets toolbar pagination pager copyright legal disclaimer contentinfo complementary search hidden skip tags".split()
 )
+_ADVERT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising advertorial sponsor sponsored sponsors promo promoted hidden".split())
 _HEADER_WORDS = frozenset("header head masthead".split())
+#: Words that may stand beside those above in one class, id or role: "cookie-banner-top" is marked, "has-sidebar" is not.
+_PLAIN_WORDS = frozenset("site page global main left right top bottom box block list bar area section container wrapper inner outer slot unit links link posts items content primary secondary".split())
+#: Words that mark a part of an article, not what stands beside it, where they are found inside one.
+_ARTICLE_WORDS = frozenset("warning notice notices alert alerts tags legal disclaimer copyright side head".split())
 _MARK = re.compile(r"<!--(?:>|->|.*?(?:-->|\Z))|<[!?][^>]*>?|</?[a-zA-Z](?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*>|</?[a-zA-Z][^<>]*(?:>|\Z)", re.DOTALL)
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s=<>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 
 
-def _labels(tag: str) -> tuple[list[str], bool]:
-    """Class, id and role words of a start tag, and whether it is hidden."""
-    words, hidden = [], False
-    for name, *values in _ATTRIBUTE.findall(tag):
+def _labels(tag: str, named: int) -> tuple[list[str], bool]:
+    """Class, id and role tokens of a start tag whose name ends at `named`, and whether it is hidden."""
+    tokens, hidden = [], False
+    for name, *values in _ATTRIBUTE.findall(tag, named):
         value = next((v for v in values if v), "").lower()
         name = name.lower()
         if name in ("class", "id", "role"):
-            words += re.findall(r"[a-z]+", value)
+            tokens += value.split()
         elif name == "hidden":
             hidden = True
         elif name == "aria-hidden":
             hidden |= value == "true"
-        else:
+        elif name == "style":
             hidden |= "display:none" in value.replace(" ", "")
-    return words, hidden
+    return tokens, hidden
 
 
-class _Node:
-    __slots__ = ("tag", "path", "out", "region")
+def _marks(tokens: list[str], words: frozenset[str]) -> set[str]:
+    """Those of the words that tokens consist of, alone or with plain words."""
+    found: set[str] = set()
+    for token in tokens:
+        parts = set(re.findall(r"[^\W\d_]+", token))
+        if parts <= words | _BOILERPLATE_WORDS | _PLAIN_WORDS:
+            found |= parts & words
+    return found
 
-    def __init__(self, tag: str, path: str, out: bool, region: int) -> None:
-        self.tag, self.path, self.out, self.region = tag, path, out, region
 
+class _Node:
+    """An element; `marks` are its boilerplate words, `size` and `story` the text in it and in its articles."""
+
+    __slots__ = ("tag", "path", "parent", "hard", "marks", "header", "out", "region", "size", "story", "depth", "block")
+
+    def __init__(self, tag: str, path: str, parent: _Node | None, hard: bool = False, marks: frozenset[str] | set[str] = frozenset(), header: bool = False) -> None:
+        self.tag, self.path, self.parent, self.hard, self.marks, self.header = tag, path, parent, hard, marks, header
+        self.out, self.region, self.size, self.story = False, 0, 0, 0
+        self.depth = parent.depth + 1 if parent else 0
+        self.block = parent is None or tag in _BLOCK
+
+
+def _resolve(nodes: list[_Node]) -> None:
+    """Sets which elements are out, and which article or main element each is in."""
+    for node in reversed(nodes[1:]):
+        if not node.hard:
+            node.parent.size += node.size
+            node.parent.story += node.size if node.tag in ("article", "main") else node.story
+    whole, regions = nodes[0], 0
+    for node in nodes[1:]:
+        top = node.parent
+        exempt = node.tag in ("article", "main", "html", "body") or 2 * node.story > whole.story
+        if not exempt and not whole.story:
+            exempt = 2 * node.size > whole.size
+        marks = node.marks
+        if top.region and marks:
+            marks = marks - _ARTICLE_WORDS if node.block and node.tag not in _TEXT_BLOCKS - _LISTS else marks & _ADVERT_WORDS
+        header = node.header and not top.region and node.tag not in ("article", "main", "body", "html") and (node.tag == "header" or not exempt)
+        label = node.tag == "label" and not top.region
+        node.out = top.out or node.hard or header or label or bool(marks) and not exempt
+        node.region = top.region
+        if node.tag in ("article", "main") and not node.out and not node.region:
+            regions += 1
+            node.region = regions
 
-def text_nodes(page: str) -> list[tuple[str, int, int, str]]:
-    """(path, block, region, text) of the text that no boilerplate element holds; region 0 is outside any article."""
-    stack = [_Node("", "", False, 0)]
-    found: list[tuple[str, int, int, str]] = []
-    block = regions = 0
+
+def text_nodes(page: str) -> list[tuple[_Node, int, str]]:
+    """(element, block, text) of the text that no boilerplate element holds; region 0 is outside any article."""
+    root = _Node("", "", None)
+    stack, nodes = [root], [root]
+    found: list[tuple[_Node, int, str]] = []
+    block = 0
     at, size = 0, len(page)
     low = None
     while at < size:
         mark = _MARK.search(page, at)
         begin = mark.start() if mark else size
         top = stack[-1]
-        if begin > at and not top.out:
-            found.append((top.path, block, top.region, entities.unescape(page[at:begin])))
+        if begin > at:
+            text = entities.unescape(page[at:begin])
+            top.size += len(text.strip())
+            found.append((top, block, text))
         if not mark:
             break
         at, tag = mark.end(), mark[0]
@@ -120,14 +170,7 @@ def text_nodes(page: str) -> list[tuple[str, int, int, str]]:
         if name in _VOID or tag.endswith("/>") and name not in _BLOCK | _RAW:
             continue
         top = stack[-1]
-        words, hidden = _labels(tag) if "=" in tag or "hidden" in tag else ([], False)
-        header = (name == "header" or not _HEADER_WORDS.isdisjoint(words)) and not top.region and name not in ("article", "main", "body", "html")
-        root = name in ("html", "body")
-        out = top.out or name in _BOILERPLATE_TAGS or header or not root and (hidden or not _BOILERPLATE_WORDS.isdisjoint(words))
-        region = top.region
-        if name in ("article", "main") and not out and not region:
-            regions += 1
-            region = regions
+        tokens, hidden = _labels(tag, named.end()) if "=" in tag or "hidden" in tag else ([], False)
         if name in _RAW:
             low = page.lower() if low is None else low
             if len(low) != size:  # lower-casing changed the length: fall back to a search without case
@@ -140,14 +183,19 @@ def text_nodes(page: str) -> list[tuple[str, int, int, str]]:
             close = page.find(">", end)
             at = close + 1 if close >= 0 else size
             continue
-        stack.append(_Node(name, f"{top.path}>{name}{'.' + '.'.join(sorted(set(words))) if words else ''}", out, region))
-    return found
+        path = f"{top.path}>{name}{'.' + '.'.join(sorted(set(tokens))) if tokens else ''}"
+        hard = name in _BOILERPLATE_TAGS or hidden and name not in ("html", "body")
+        header = name == "header" or bool(_marks(tokens, _HEADER_WORDS))
+        stack.append(_Node(name, path, top, hard, _marks(tokens, _BOILERPLATE_WORDS), header))
+        nodes.append(stack[-1])
+    _resolve(nodes)
+    return [x for x in found if not x[0].out]
 
 
-def content_paths(nodes: list[tuple[str, int, int, str]], share: float = SHARE) -> set[str]:
+def content_paths(nodes: list[tuple[_Node, int, str]], share: float = SHARE) -> set[str]:
     """Paths whose smoothed and fused ratios reach the share of the page's greatest."""
     length: dict[str, list[float]] = {}
-    for path, _, _, text in nodes:
+    for path, text in ((x[0].path, x[2]) for x in nodes):
         size = len(text.strip())
         if size:
             one = length.setdefault(path, [0, 0, 0])
@@ -171,9 +219,9 @@ def main_text(page: str | None, share: float = SHARE) -> str:
     """The article of one page."""
     nodes = text_nodes(page or "")
     chosen = content_paths(nodes, share)
-    regions = {region for path, _, region, _ in nodes if region and path in chosen}
-    keep = [x for x in nodes if (x[2] in regions if regions else x[0] in chosen)]
-    parts = [text if i == 0 else " " * (keep[i - 1][1] != block) + text for i, (_, block, _, text) in enumerate(keep)]
+    regions = {x[0].region for x in nodes if x[0].region and x[0].path in chosen}
+    keep = [x for x in nodes if (x[0].region in regions if regions else x[0].path in chosen)]
+    parts = [text if i == 0 else " " * (keep[i - 1][1] != block) + text for i, (_, block, text) in enumerate(keep)]
     return " ".join("".join(parts).split())
 
 

@@ -266,6 +266,20 @@ def test_main_text(html, text):
     assert html_extract.main_text(html) == text
 
 
+LONG = "A sentence of the story, long enough to count. And one more, with marks; yes. " * 4
+
+
+@pytest.mark.parametrize(
+    "opening",
+    ["<article class='post has-sidebar'>", "<main class='comments-open'>", "<div class='content no-ads'>", "<div id='legal-news'>", "<div data-id='ad'>", "<div class='sidebar'><article>", "<div class='share'>"],
+)
+def test_main_text_boilerplate_words(opening):
+    aside = "<div class='cookie-banner'>We use cookies.</div><div class='sidebar-left'>more</div>"
+    assert html_extract.main_text(f"<body>{aside}{opening}<p>{LONG}</p>") == LONG.strip()
+    inner = "<p class='warning'>Mind this.</p><math><mi>x</mi></math><div class='tags-intro'>In short.</div><div class='related'>no</div>"
+    assert html_extract.main_text(f"<article><p>{LONG}</p>{inner}</article>") == f"{LONG.strip()} Mind this. x In short."
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x</p>", "t"), (1, "u", "<p>x</p>", "t"), (None, None, None, None)], "page_id bigint, url string, html string, text string")
     assert sorted(r["n_chars"] for r in html_extract.extract_main_text(pages).collect()) == [0, 1, 1]
