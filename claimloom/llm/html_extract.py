@@ -2,10 +2,12 @@
 
 A page's text nodes are grouped by their path of tags (with class words) from the root. For each path the mean
 length of its nodes and the mean number of punctuation marks in them are taken, both are smoothed over the paths in
-page order, and their fused product is held against a share of the page's greatest. Paths inside elements that
-mark menus, headers, footers, sidebars, notices, adverts, forms, comments or code never count. Where a page has an
-article or main element, the paths above the threshold choose among those, and all paths below the chosen elements
-are content; else the paths above the threshold are.
+page order, and their fused product is held against a share of the page's greatest. Inline elements count
+to the block that holds them. Elements that mark menus, headers, footers, sidebars, notices, adverts, forms, comments
+or code by their tag, or by whole class, id or role words, never count; such words say nothing on an article or main
+element, on what holds most article text, or, on a page without articles, on what holds most text. Where article and
+main elements hold most of the chosen text, all of those with chosen text are content; else the chosen paths are, with
+every short block of the element that most of them are in.
 
 White space in a block becomes one space; blocks and line breaks are joined by one space. Defined results: null or
 empty html, and pages without content, give an empty text. Broken markup is read as far as it goes: unclosed tags
@@ -183,7 +185,7 @@ def text_nodes(page: str) -> list[tuple[_Node, int, str]]:
             close = page.find(">", end)
             at = close + 1 if close >= 0 else size
             continue
-        path = f"{top.path}>{name}{'.' + '.'.join(sorted(set(tokens))) if tokens else ''}"
+        path = f"{top.path}>{name}{'.' + '.'.join(sorted(set(tokens))) if tokens else ''}" if name in _BLOCK else top.path
         hard = name in _BOILERPLATE_TAGS or hidden and name not in ("html", "body")
         header = name == "header" or bool(_marks(tokens, _HEADER_WORDS))
         stack.append(_Node(name, path, top, hard, _marks(tokens, _BOILERPLATE_WORDS), header))
@@ -193,15 +195,17 @@ def text_nodes(page: str) -> list[tuple[_Node, int, str]]:
 
 
 def content_paths(nodes: list[tuple[_Node, int, str]], share: float = SHARE) -> set[str]:
-    """Paths whose smoothed and fused ratios reach the share of the page's greatest."""
+    """Paths whose smoothed and fused ratios reach the share of the page's greatest; inline elements count to their block."""
     length: dict[str, list[float]] = {}
-    for path, text in ((x[0].path, x[2]) for x in nodes):
+    before = None
+    for node, block, text in nodes:
         size = len(text.strip())
         if size:
-            one = length.setdefault(path, [0, 0, 0])
+            one = length.setdefault(node.path, [0, 0, 0])
             one[0] += size
             one[1] += len(_PUNCTUATION.findall(text))
-            one[2] += 1
+            one[2] += before != (node.path, block)
+            before = node.path, block
     if not length:
         return set()
     texts, marks = [a / n for a, _, n in length.values()], [b / n for _, b, n in length.values()]
@@ -215,12 +219,60 @@ def content_paths(nodes: list[tuple[_Node, int, str]], share: float = SHARE) ->
     return {path for path, x in zip(length, fused, strict=True) if x >= bound}
 
 
+def _chosen_nodes(nodes: list[tuple[_Node, int, str]], chosen: set[str]) -> list[tuple[_Node, int, str]]:
+    """The text of a page without leading articles: chosen paths, and all short blocks of their common element.
+
+    That element is the innermost, no paragraph, heading or list, that holds more than half of the chosen text. In
+    body only what stands between the first and the last chosen block counts, with headings before them.
+    """
+    held: dict[_Node, int] = {}
+    for node, _, text in nodes:
+        held[node] = held.get(node, 0) + (len(text.strip()) if node.path in chosen else 0)
+        while node.parent is not None and node.parent not in held:
+            node = node.parent
+            held[node] = 0
+    inwards = sorted(held, key=lambda x: x.depth)
+    for node in reversed(inwards[1:]):
+        held[node.parent] += held[node]
+    container = inwards[0]
+    for node in inwards:
+        if 2 * held[node] > held[inwards[0]] and node.block and node.tag not in _TEXT_BLOCKS:
+            container = node
+    inside: dict[_Node, bool] = {}
+    for node in inwards:
+        inside[node] = node is container or node.parent is not None and inside[node.parent]
+    places = [i for i, (node, _, text) in enumerate(nodes) if node.path in chosen and text.strip()]
+    first, last = places[0], places[-1]
+    while first and (_heading(nodes[first - 1][0]) or not nodes[first - 1][2].strip()):
+        first -= 1
+    body = container.tag in ("", "html", "body")
+
+    def keep(i: int, node: _Node) -> bool:
+        if node.region and not container.region:  # articles that hold less than the rest: teasers
+            return False
+        return node.path in chosen or inside[node] and (not body or first <= i <= last)
+
+    return [x for i, x in enumerate(nodes) if keep(i, x[0])]
+
+
+def _heading(node: _Node | None) -> bool:
+    while node is not None and not node.block:
+        node = node.parent
+    return node is not None and re.fullmatch("h[1-6]", node.tag) is not None
+
+
 def main_text(page: str | None, share: float = SHARE) -> str:
     """The article of one page."""
     nodes = text_nodes(page or "")
     chosen = content_paths(nodes, share)
-    regions = {x[0].region for x in nodes if x[0].region and x[0].path in chosen}
-    keep = [x for x in nodes if (x[0].region in regions if regions else x[0].path in chosen)]
+    if not chosen:
+        return ""
+    sizes = [(node.region, len(text.strip())) for node, _, text in nodes if node.path in chosen]
+    regions = {region for region, size in sizes if region and size}
+    if 2 * sum(size for region, size in sizes if region) > sum(size for _, size in sizes):
+        keep = [x for x in nodes if x[0].region in regions]
+    else:
+        keep = _chosen_nodes(nodes, chosen)
     parts = [text if i == 0 else " " * (keep[i - 1][1] != block) + text for i, (_, block, text) in enumerate(keep)]
     return " ".join("".join(parts).split())
 

@@ -269,6 +269,17 @@ def test_main_text(html, text):
 LONG = "A sentence of the story, long enough to count. And one more, with marks; yes. " * 4
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<body><div><h1>Short head</h1><p>%s<b>bold</b> and <a href=x>link</a>, <em>em</em>.</p><ul><li>one</li></ul><p>%s</p></div></body>", "Short head {0} bold and link, em. one {0}"),
+        ("<body><div><p>%s</p><p>%s</p></div><article><p>A teaser of another story, in short.</p></article></body>", "{0} {0}"),
+    ],
+)
+def test_main_text_keeps_inline_and_short_blocks(html, text):
+    assert html_extract.main_text(html % (LONG, LONG)) == text.format(LONG.strip())
+
+
 @pytest.mark.parametrize(
     "opening",
     ["<article class='post has-sidebar'>", "<main class='comments-open'>", "<div class='content no-ads'>", "<div id='legal-news'>", "<div data-id='ad'>", "<div class='sidebar'><article>", "<div class='share'>"],
