@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -78,32 +79,104 @@ def json_spans(reply: str | None, attempts: int = 50) -> list[tuple[str, int, in
     return []
 
 
-def align_tokens(tokens: list[str], text: str, from_end: bool = False) -> list[tuple[int, int] | None]:
+#: Characters of a text's start that are looked for, longest first; shorter texts than the least have no anchor.
+_ANCHORS = (64, 32, 16)
+_LEAST_ANCHOR = 8
+_MOST_MISSES = 32
+_LOST = "\ufffd"
+
+
+def _spelled(tokens: list[str], raw: list[bytes | None] | None) -> tuple[str, list[tuple[int, int]]]:
+    """What the tokens spell, and each one's span in it; exact for characters split over tokens if all have bytes."""
+    spans, at = [], 0
+    if not raw or any(x is None for x in raw):
+        for token in tokens:
+            spans.append((at, at + len(token)))
+            at += len(token)
+        return "".join(tokens), spans
+    data = b"".join(raw)
+    characters: list[str] = []
+    owner: list[int] = []
+    while at < len(data):
+        lead = data[at]
+        width = 2 if 0xC0 <= lead < 0xE0 else 3 if 0xE0 <= lead < 0xF0 else 4 if 0xF0 <= lead < 0xF8 else 1
+        try:
+            character = data[at : at + width].decode("utf-8")
+        except UnicodeDecodeError:
+            width, character = 1, _LOST
+        owner += [len(characters)] * width
+        characters.append(character)
+        at += width
+    at = 0
+    for part in raw:
+        end = at + len(part)
+        spans.append((owner[at], owner[end - 1] + 1) if part else (0, 0))
+        at = end
+    return "".join(characters), spans
+
+
+def _clipped(start: int, end: int, size: int) -> tuple[int, int] | None:
+    start, end = max(start, 0), min(end, size)
+    return (start, end) if end > start else None
+
+
+def _anchor(joined: str, text: str, from_end: bool) -> tuple[int, int] | None:
+    """A place in what the tokens spell and the place in text that stands there."""
+    look = joined.rfind if from_end else joined.find
+    if len(text) < _LEAST_ANCHOR:
+        return 0, 0
+    for size in _ANCHORS:
+        place = look(text[:size])
+        if place >= 0:
+            return place, 0
+    run = re.search(r"[ -~]{24,}", text)  # a split character may stand in the first ones
+    place = look(run[0][:48]) if run else -1
+    return (place, run.start()) if place >= 0 else None
+
+
+def align_tokens(tokens: list[str], text: str, from_end: bool = False, raw: list[bytes | None] | None = None) -> list[tuple[int, int] | None]:
     """The span in text that each token spells; None for tokens outside of it.
 
-    If the tokens joined hold the text it is found at once; else tokens are followed one by one and what does not
-    stand next is looked for a little further on.
+    With the bytes of all tokens (`raw`) spans are exact. If the tokens joined hold the text it is found at once; else
+    tokens are followed one by one from an anchor, the first 64, 32 or 16 characters of the text or its first long run
+    of ASCII, and what does not stand next is looked for a little further on, until 33 in a row are not found. Texts
+    under 8 characters have no anchor and are followed from the first token.
     """
-    joined = "".join(tokens)
-    begin = (joined.rfind(text) if from_end else joined.find(text)) if text else -1
-    spans: list[tuple[int, int] | None] = []
+    aligned: list[tuple[int, int] | None] = [None] * len(tokens)
+    if not tokens or not text:
+        return aligned
+    joined, spans = _spelled(tokens, raw)
+    begin = joined.rfind(text) if from_end else joined.find(text)
     if begin >= 0:
-        at = -begin
-        for token in tokens:
-            start, end = max(at, 0), min(at + len(token), len(text))
-            spans.append((start, end) if end > start else None)
+        return [_clipped(start - begin, end - begin, len(text)) if end > start else None for start, end in spans]
+    anchor = _anchor(joined, text, from_end)
+    first = next((i for i, (_, end) in enumerate(spans) if anchor and end > anchor[0]), None)
+    if first is None:
+        return aligned
+    at, misses = anchor[1] + spans[first][0] - anchor[0], 0
+    for i in range(first, len(tokens)):
+        token = tokens[i]
+        if at >= len(text):
+            break
+        if not token:
+            continue
+        clean = token.replace(_LOST, "")
+        if at < 0:  # the token begins before the text does
+            aligned[i] = _clipped(at, at + len(token), len(text))
             at += len(token)
-        return spans
-    at = misses = 0
-    for token in tokens:
-        place = text.find(token, at, at + 64 + len(token)) if token and misses < 32 else -1
-        if place < 0:
-            misses += bool(token)
-            spans.append(None)
+        elif text.startswith(token, at):
+            aligned[i] = (at, at + len(token))
+            at, misses = at + len(token), 0
+        elif not clean:  # a part of a character
+            aligned[i] = (at, at + 1)
+        elif (place := text.find(clean, at, at + len(clean) + 16)) >= 0:
+            aligned[i] = (max(at, place - (len(token) - len(clean))), place + len(clean))
+            at, misses = place + len(clean), 0
         else:
-            spans.append((place, place + len(token)))
-            at, misses = place + len(token), 0
-    return spans
+            misses += 1
+            if misses > _MOST_MISSES:
+                break
+    return aligned
 
 
 def reply_values(replies: DataFrame, key: str, text: str = "text") -> DataFrame:

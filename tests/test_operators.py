@@ -317,3 +317,16 @@ def test_corpus_run_is_incremental_and_gated(spark, tmp_path):
         stages.write_back(spark, str(tmp_path / "merged"), both["nodes"].limit(1), both["edges"])
     assert stages.current(spark, str(tmp_path / "merged"))[0].count() == 3
     assert "Loss \\| x" in stages.markdown_table(nodes, ["entity_term"], ["entity_term"])
+
+
+def test_tokens_align_by_bytes_and_anchors():
+    from claimloom.functions.positions import align_tokens
+
+    raw = [b"x", "é".encode()[:1], "é".encode()[1:] + b"t", "é".encode()]
+    assert align_tokens(["x", "\ufffd", "\ufffdt", "é"], "été", raw=raw) == [None, (0, 1), (0, 2), (2, 3)]
+    answer = '{"claim": "the caf\u00e9 opened early"}'
+    thought = ["{", '"', "the "] + [f"thought{i} " for i in range(60)]
+    said = ['{"claim": ', '"the caf', "\ufffd", "\ufffd", " opened", ' early"}']
+    spans = align_tokens(thought + said, answer, from_end=True)
+    assert spans[: len(thought)] == [None] * len(thought)
+    assert [x and answer[slice(*x)] for x in spans[len(thought) :]] == ['{"claim": ', '"the caf', "é", "é", " opened", ' early"}']
