@@ -5,7 +5,7 @@ windows and a rest, rests are placed in order of decreasing length into the tigh
 and windows left open are offered to the task's next block. Nothing is shuffled, and a task that runs again gives
 the same pieces.
 
-Token ids are those of the `tokenizers` library. A word is encoded once for each task and then looked up by the
+Token ids are those of the `tokenizers` library. A word is encoded once for each worker process and then looked up by the
 hash of its bytes (lower-cased where the vocabulary's own normaliser lower-cases it); words that contain anything
 but ASCII and the letters from U+00C0 to U+00FF, and words with apostrophes or control strings, are encoded by the
 whole tokenizer.
@@ -89,11 +89,7 @@ class WordEncoder:
         self.plain = Tokenizer.from_file(path)
         self.plain = Tokenizer(self.plain.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.begin, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.cache = tk.IdCache(_CACHE_WORDS, np.uint32)
 
     def _units(self, data: np.ndarray, offsets: np.ndarray):
         """Runs of bytes that are encoded on their own: their bytes lower-cased, starts, ends, rows and whether plain."""
@@ -117,8 +113,8 @@ class WordEncoder:
         plain = sums[end] == sums[start]
         kind[(kind == 4) | (kind == 5)] = 1
         inside = np.zeros(len(data) + 1, dtype=np.int8)
-        np.add.at(inside, start[plain], 1)
-        np.add.at(inside, end[plain], -1)
+        inside[start[plain]] += 1
+        inside[end[plain]] -= 1
         inside = np.cumsum(inside[:-1]).astype(bool)
         breaks = np.zeros(len(data) + 1, dtype=bool)
         breaks[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
@@ -134,34 +130,24 @@ class WordEncoder:
         starts, ends, is_plain = starts[at], ends[at], is_plain[at]
         return lowered, starts, ends, np.searchsorted(offsets, starts, "right") - 1, is_plain
 
-    def _learn(self, keys, words: list[str], plain: np.ndarray) -> None:
+    def _learn(self, words: list[str], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and each word's number of ids."""
         lengths, found = np.zeros(len(words), dtype=np.int64), []
-        simple = np.flatnonzero(plain)
+        simple, other = np.flatnonzero(plain), np.flatnonzero(~plain)
         if len(simple):
             encoded = self.plain.encode(" ".join(words[i] for i in simple), add_special_tokens=False)
-            ids = np.array(encoded.ids, dtype=np.uint32)
-            which = np.array(encoded.word_ids, dtype=np.int64)
-            lengths[simple] = np.bincount(which, minlength=len(simple))
-            found.append(ids)
-        other = np.flatnonzero(~plain)
+            found.append(np.array(encoded.ids, dtype=np.uint32))
+            lengths[simple] = np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(simple))
         if len(other):
             for i, x in zip(other.tolist(), self.whole.encode_batch_fast([words[i] for i in other], add_special_tokens=False), strict=True):
                 found.append(np.array(x.ids, dtype=np.uint32))
                 lengths[i] = len(x.ids)
+        ids = np.concatenate(found)
         order = np.concatenate([simple, other])
         begin = np.zeros(len(words), dtype=np.int64)
-        begin[order] = len(self.ids) + np.cumsum(lengths[order]) - lengths[order]
-        self.ids = np.concatenate([self.ids, *found])
-        all_keys = np.concatenate([self.keys, keys])
-        at = np.argsort(all_keys)
-        self.keys = all_keys[at]
-        self.begin, self.length = np.concatenate([self.begin, begin])[at], np.concatenate([self.length, lengths])[at]
-
-    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), dtype=bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
+        begin[order] = np.cumsum(lengths[order]) - lengths[order]
+        total = np.cumsum(lengths)
+        return ids[np.repeat(begin - (total - lengths), lengths) + np.arange(len(ids))], lengths
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice, and their bounds by row."""
@@ -173,27 +159,29 @@ class WordEncoder:
         if not plain.all():
             exact = tk.run_hashes(data, starts[~plain], ends[~plain])
             hashes[~plain] = tk.mix(exact + np.uint64(0x9E3779B97F4A7C15))
-        keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        at, known = self._find(keys)
-        if not known.all():
-            if len(self.keys) + (~known).sum() > _CACHE_WORDS:
-                self._forget()
-                known[:] = False
-            new = np.flatnonzero(~known)
+
+        def learn(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             text, raw = lowered.tobytes(), data.tobytes()
-            is_plain = plain[first[new]]
-            words = [(text if p else raw)[b:e].decode("utf-8", "replace") for p, b, e in zip(is_plain.tolist(), starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
-            self._learn(keys[new], words, is_plain)
-            at, _ = self._find(keys)
-        at = at[inverse]
-        length = self.length[at]
-        total = np.cumsum(length)
-        ids = self.ids[np.repeat(self.begin[at] - (total - length), length) + np.arange(total[-1] if len(total) else 0)]
+            words = [(text if p else raw)[b:e].decode("utf-8", "replace") for p, b, e in zip(plain[at].tolist(), starts[at].tolist(), ends[at].tolist(), strict=True)]
+            return self._learn(words, plain[at])
+
+        ids, length = self.cache.expand(hashes, learn)
         bounds = np.zeros(rows + 1, dtype=np.int64)
         np.cumsum(np.bincount(row, weights=length, minlength=rows).astype(np.int64), out=bounds[1:])
         return ids, bounds
 
 
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of a vocabulary; a worker process keeps it, and the words it has met, from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
 def encode_texts(column: pa.Array, encoder: WordEncoder, end_id: int = END_ID):
     """Yields each text's ids with the end id, in order."""
     for _, n, data, offsets in tk.text_slices(column):
@@ -239,7 +227,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id
     fields = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint" + ", ids binary" * with_ids
 
     def pack(batches):
-        encoder, packer = WordEncoder(tokenizer), Packer(window)
+        encoder, packer = word_encoder(tokenizer), Packer(window)
         base = TaskContext.get().partitionId() << 40
         names, held, size = [], [], 0
 

@@ -101,7 +101,7 @@ def runs(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
     """64-bit hashes of byte runs; equal bytes (or equal up to A-Z case) give equal hashes."""
-    up, down = _POWERS.upto(len(data) or 1)
+    up, down = _POWERS.upto(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((BYTE_VALUES_LOWER if lower else BYTE_VALUES)[data] * up[: len(data)], out=sums[1:])
     found = sums[ends] - sums[starts]
@@ -169,3 +169,94 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = 5) -> tuple[np.
     bounds = np.zeros(rows + 1, dtype=np.int64)
     np.cumsum(np.bincount(owner, minlength=rows), out=bounds[1:])
     return found, bounds
+
+
+class HashTable:
+    """Numbers of 64-bit keys in the order of their insertion, found by open addressing; keys must be well mixed."""
+
+    def __init__(self, bits: int = 14) -> None:
+        self.size, self.bits = 0, bits
+        self.keys, self.slots = np.zeros(1 << bits >> 1, np.uint64), np.full(1 << bits, -1, np.int32)
+
+    def _begin(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' numbers; -1 where a key is not there."""
+        at = self._begin(keys)
+        found = self.slots[at]
+        left = np.flatnonzero((found >= 0) & (self.keys[found] != keys))
+        while len(left):
+            at[left] = (at[left] + 1) & (len(self.slots) - 1)
+            here = self.slots[at[left]]
+            found[left] = here
+            left = left[(here >= 0) & (self.keys[here] != keys[left])]
+        return found
+
+    def insert(self, keys: np.ndarray) -> None:
+        """Adds distinct keys that are not there yet."""
+        first, self.size = self.size, self.size + len(keys)
+        if self.size > len(self.keys):
+            while self.size > 1 << self.bits >> 1:
+                self.bits += 1
+            self.keys = np.concatenate([self.keys[:first], keys, np.zeros((1 << self.bits >> 1) - self.size, np.uint64)])
+            self.slots = np.full(1 << self.bits, -1, np.int32)
+            first = 0
+        else:
+            self.keys[first : self.size] = keys
+        number = np.arange(first, self.size, dtype=np.int32)
+        at = self._begin(self.keys[first : self.size])
+        while len(number):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = number[free]
+            left = self.slots[at] != number
+            number, at = number[left], (at[left] + 1) & (len(self.slots) - 1)
+
+
+class Buffer:
+    """A growing array."""
+
+    def __init__(self, kind) -> None:
+        self.size, self.data = 0, np.zeros(1024, kind)
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.size + len(values)
+        if end > len(self.data):
+            self.data = np.concatenate([self.data[: self.size], np.zeros(max(end, 2 * len(self.data)) - self.size, self.data.dtype)])
+        self.data[self.size : end] = values
+        self.size = end
+
+
+class IdCache:
+    """Id lists of words by word hash: at most `most` words, then it starts anew."""
+
+    def __init__(self, most: int, kind) -> None:
+        self.most, self.kind = most, kind
+        self.forget()
+
+    def forget(self) -> None:
+        self.table = HashTable()
+        self.begin, self.length, self.ids = Buffer(np.int64), Buffer(np.int64), Buffer(self.kind)
+
+    def expand(self, hashes: np.ndarray, learn) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in order, and each word's number of ids.
+
+        learn(at) gives ids and lengths, word by word, of the words at these places, whose hashes are not known.
+        """
+        found = self.table.find(hashes)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            keys, first = np.unique(hashes[missing], return_index=True)
+            if self.table.size and self.table.size + len(keys) > self.most:
+                self.forget()
+                keys, first = np.unique(hashes, return_index=True)
+                missing = np.arange(len(hashes))
+            ids, lengths = learn(missing[first])
+            self.begin.add(self.ids.size + np.cumsum(lengths) - lengths)
+            self.length.add(lengths)
+            self.ids.add(ids)
+            self.table.insert(keys)
+            found[missing] = self.table.find(hashes[missing])
+        length = self.length.data[found]
+        total = np.cumsum(length)
+        return self.ids.data[np.repeat(self.begin.data[found] - (total - length), length) + np.arange(total[-1] if len(total) else 0)], length
