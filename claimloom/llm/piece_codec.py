@@ -5,8 +5,9 @@ For every end position and piece length a substring hash probes the sorted piece
 follow the best piece before them, the longest is kept and its length stored as backpointer. A byte-pair model
 does not maximise a sum of scores, so a candidate's score is not added up: it may follow the piece before it if
 merging by scores would leave the two apart, and exactly one piece at each position can. The ids are thereby those
-of the `sentencepiece` library. Characters without a piece become bytes. Words with several space marks or more than
-`LONGEST` characters are merged pair by pair instead, with the same result.
+of the `sentencepiece` library. Characters without a piece become bytes. Words of more than `LONGEST` characters, such
+as texts without spaces, are first cut where two neighbouring characters stand side by side in no piece, so that
+many short parts advance together; a part without such a place goes through the recursion whole, however long.
 
 Defined results: a null or empty text has no ids; no ids decode to an empty text. A null id list is empty. The mark
 U+2581 in a text is read as a space, as the model's own normaliser does, so only that character does not survive a
@@ -24,13 +25,17 @@ from pyspark.sql import DataFrame
 from . import textkernel as tk
 
 MODEL = "piece_bpe_32k.model"
-#: Characters up to which a word goes through the batched recursion.
+#: Characters from which on a word is cut where no piece can span.
 LONGEST = 48
 _MARK = "▁"
 _CACHE_WORDS = 600_000
 #: Larger slices give the recursion more words of one length at a time.
-_SLICE_BYTES = 1 << 21
+_SLICE_BYTES = 1 << 22
 _WORDS_AT_ONCE = 16_384
+#: Cells of the candidate table for words that advance together.
+_CELLS = 1 << 21
+#: Pairs of pieces whose relation a worker remembers.
+_PAIRS = 1 << 20
 _ROWS_AT_ONCE = 256
 _FAR = 1 << 30
 
@@ -77,6 +82,18 @@ class PieceModel:
                     pairs[a << 32 | b] = int(self.rank[i])
         self.pairs = np.array(sorted(pairs), dtype=np.int64)
         self.pair_rank = np.array([pairs[int(x)] for x in self.pairs], dtype=np.int64)
+        self.neighbours = np.array(sorted({ord(a) << 32 | ord(b) for text in self.ids for a, b in zip(text, text[1:], strict=False)}), dtype=np.int64)
+        self._forget_pairs()
+
+    def _forget_pairs(self) -> None:
+        self.met, self.fine = tk.HashTable(), tk.Buffer(bool)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("met", "fine")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget_pairs()
 
     @staticmethod
     def _key(codes: np.ndarray) -> np.ndarray:
@@ -121,6 +138,21 @@ class PieceModel:
         return [i] if i is not None else [int(self.byte_ids[b]) for b in piece.encode("utf-8", "surrogatepass")]
 
     def _apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether merging leaves piece a and the following piece b apart; pairs are worked out once and remembered."""
+        keys = tk.mix((a << 32 | (b & 0xFFFFFFFF)).view(np.uint64))
+        found = self.met.find(keys)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new, first = np.unique(keys[missing], return_index=True)
+            if self.met.size + len(new) > _PAIRS:
+                self._forget_pairs()
+                return self._worked_out(a, b)
+            self.fine.add(self._worked_out(a[missing[first]], b[missing[first]]))
+            self.met.insert(new)
+            found[missing] = self.met.find(keys[missing])
+        return self.fine.data[found]
+
+    def _worked_out(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging leaves piece a and the following piece b apart; ids below 0 never merge.
 
         The merges that built the two are undone from the last. While x and y stand at the border, merging them
@@ -148,58 +180,90 @@ class PieceModel:
     def viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of words in equal-length rows of code points: the piece that ends at each position, and its length."""
         n, length = codes.shape
-        best = np.full((n, length + 1), -1, dtype=np.int64)
-        back = np.zeros((n, length + 1), dtype=np.int64)
-        hashes = np.zeros((n, length), dtype=np.uint64)
-        candidate = np.full((min(self.longest, length) + 1, n, length), -1, dtype=np.int64)
-        for size in range(1, len(candidate)):
-            hashes = hashes[:, : length - size + 1] * np.uint64(0xD1342543DE82EF95) + codes[:, size - 1 :].astype(np.uint64) + np.uint64(1)
+        best = np.full((length + 1, n), -1, dtype=np.int64)
+        back = np.zeros((length + 1, n), dtype=np.int32)
+        letters = np.ascontiguousarray(codes.T).astype(np.uint64) + np.uint64(1)
+        hashes = np.zeros((length, n), dtype=np.uint64)
+        candidates: list[np.ndarray] = [letters]
+        somewhere = np.zeros((min(self.longest, length) + 1, length), dtype=bool)
+        for size in range(1, len(somewhere)):
+            hashes = hashes[: length - size + 1] * np.uint64(0xD1342543DE82EF95) + letters[size - 1 :]
             place = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-            candidate[size, :, : length - size + 1] = np.where(self.keys[place] == hashes, self.key_ids[place], -1)
+            candidates.append(np.where(self.keys[place] == hashes, self.key_ids[place], -1).astype(np.int32))
+            somewhere[size, : length - size + 1] = (candidates[-1] >= 0).any(axis=1)
         for end in range(1, length + 1):
             open_ = np.arange(n)
-            for size in range(min(end, len(candidate) - 1), 0, -1):
-                piece = candidate[size, open_, end - size]
+            for size in range(min(end, len(somewhere) - 1), 0, -1):
+                if size > 1 and not somewhere[size, end - size]:
+                    continue
+                piece = candidates[size][end - size, open_].astype(np.int64)
                 if size > 1:
                     maybe = np.flatnonzero(piece >= 0)
+                    if end > size and len(maybe):
+                        maybe = maybe[self._apart(best[end - size, open_[maybe]], piece[maybe])]
                     if not len(maybe):
                         continue
-                    if end > size:
-                        maybe = maybe[self._apart(best[open_[maybe], end - size], piece[maybe])]
                 else:
                     maybe = np.arange(len(open_))
                 rows = open_[maybe]
-                best[rows, end], back[rows, end] = piece[maybe], size
+                best[end, rows], back[end, rows] = piece[maybe], size
                 keep = np.ones(len(open_), dtype=bool)
                 keep[maybe] = False
                 open_ = open_[keep]
                 if not len(open_):
                     break
-        return best, back
-
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of words, each starting with a space mark."""
-        out: list[list[int]] = [[]] * len(words)
-        groups: dict[int, list[int]] = {}
+        return best.T, back.T
+
+    def _parts(self, word: str) -> list[str]:
+        """A word cut where its neighbouring characters stand side by side in no piece."""
+        codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        pairs = codes[:-1] << 32 | codes[1:]
+        together = self.neighbours[np.minimum(np.searchsorted(self.neighbours, pairs), len(self.neighbours) - 1)] == pairs
+        cuts = [0, *(np.flatnonzero(~together) + 1).tolist(), len(word)]
+        return [word[b:e] for b, e in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, each starting with a space mark: all ids in order, and each word's number of ids."""
+        parts, owner = [], []
         for i, word in enumerate(words):
-            if len(word) > LONGEST or word.startswith(_MARK * 2):
-                out[i] = [x for piece in self.merged(word) for x in self.piece_ids(piece)]
+            if len(word) > LONGEST:
+                some = self._parts(word)
+                parts += some
+                owner += [i] * len(some)
             else:
-                groups.setdefault(len(word), []).append(i)
-        for length, index in groups.items():
-            for first in range(0, len(index), 4096):
-                some = index[first : first + 4096]
-                codes = np.frombuffer("".join(words[i] for i in some).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(some), length)
+                parts.append(word)
+                owner.append(i)
+        sizes = np.array([len(x) for x in parts], dtype=np.int64)
+        order = np.argsort(sizes, kind="stable")
+        found: list[tuple[np.ndarray, ...]] = []
+        edges = np.flatnonzero(np.diff(sizes[order], prepend=-1, append=-1))
+        for first, last in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            length = int(sizes[order[first]])
+            step = max(1, _CELLS // max(length, 1))
+            for begin in range(first, last, step):
+                some = order[begin : min(begin + step, last)]
+                codes = np.frombuffer("".join([parts[i] for i in some]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(some), length)
                 best, back = self.viterbi(codes)
-                best, back = best.tolist(), back.tolist()
-                for i, pieces, sizes in zip(some, best, back, strict=True):
-                    end, ids = length, []
-                    while end:
-                        piece = pieces[end]
-                        ids += [piece] if piece >= 0 else self.piece_ids(words[i][end - 1])[::-1]
-                        end -= sizes[end]
-                    out[i] = ids[::-1]
-        return out
+                end, left = np.full(len(some), length), np.arange(len(some))
+                while len(left):
+                    found.append((some[left], end[left].copy(), best[left, end[left]]))
+                    end[left] -= back[left, end[left]]
+                    left = left[end[left] > 0]
+        if not found:
+            return np.zeros(0, np.int32), np.zeros(len(words), np.int64)
+        part, end, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+        at = np.lexsort((end, part))
+        part, end, ids = part[at], end[at], ids[at].astype(np.int32)
+        owner = np.array(owner, dtype=np.int64)[part]
+        unknown = np.flatnonzero(ids < 0)
+        if len(unknown):  # characters without a piece are written in bytes
+            spelled = [self.piece_ids(parts[p][e - 1]) for p, e in zip(part[unknown].tolist(), end[unknown].tolist(), strict=True)]
+            count = np.ones(len(ids), dtype=np.int64)
+            count[unknown] = [len(x) for x in spelled]
+            begin = np.cumsum(count) - count
+            ids, owner = np.repeat(ids, count), np.repeat(owner, count)
+            ids[np.concatenate([np.arange(b, b + len(x)) for b, x in zip(begin[unknown].tolist(), spelled, strict=True)])] = np.concatenate([np.array(x) for x in spelled])
+        return ids, np.bincount(owner, minlength=len(words)).astype(np.int64)
 
 
 class Encoder:
@@ -207,17 +271,7 @@ class Encoder:
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.begin, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), dtype=bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
+        self.cache = tk.IdCache(_CACHE_WORDS, np.int32)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a slice and their bounds."""
@@ -237,37 +291,33 @@ class Encoder:
         begin += skip
         row = np.searchsorted(offsets, begin - skip, "right") - 1
         hashes = tk.run_hashes(data, begin, end)
-        keys, place, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        at, known = self._find(keys)
-        if not known.all():
-            if len(self.keys) + (~known).sum() > _CACHE_WORDS:
-                self._forget()
-                known[:] = False
-            new = np.flatnonzero(~known)
-            raw = data.tobytes()
-            words = [_MARK + raw[b:e].decode("utf-8", "replace").replace(" ", _MARK) for b, e in zip(begin[place[new]].tolist(), end[place[new]].tolist(), strict=True)]
-            length = np.zeros(len(words), dtype=np.int64)
-            fresh = [self.ids]
-            for some in range(0, len(words), _WORDS_AT_ONCE):  # lists of Python integers are large: not all at once
-                found = self.model.encode_words(words[some : some + _WORDS_AT_ONCE])
-                length[some : some + len(found)] = [len(x) for x in found]
-                fresh.append(np.array([i for x in found for i in x], dtype=np.int32))
-            here = len(self.ids) + np.cumsum(length) - length
-            self.ids = np.concatenate(fresh)
-            merged = np.concatenate([self.keys, keys[new]])
-            order = np.argsort(merged)
-            self.keys = merged[order]
-            self.begin, self.length = np.concatenate([self.begin, here])[order], np.concatenate([self.length, length])[order]
-            at, _ = self._find(keys)
-        at = at[inverse]
-        length = self.length[at]
-        total = np.cumsum(length)
-        ids = self.ids[np.repeat(self.begin[at] - (total - length), length) + np.arange(total[-1])]
+
+        def learn(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            found = []
+            for some in range(0, len(at), _WORDS_AT_ONCE):
+                here = at[some : some + _WORDS_AT_ONCE]
+                words = [_MARK + data[b:e].tobytes().decode("utf-8", "replace").replace(" ", _MARK) for b, e in zip(begin[here].tolist(), end[here].tolist(), strict=True)]
+                found.append(self.model.encode_words(words))
+            ids, lengths = zip(*found, strict=True)
+            return np.concatenate(ids), np.concatenate(lengths)
+
+        ids, length = self.cache.expand(hashes, learn)
         bounds = np.zeros(rows + 1, dtype=np.int64)
         np.cumsum(np.bincount(row, weights=length, minlength=rows).astype(np.int64), out=bounds[1:])
         return ids, bounds
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def piece_encoder(path: str, shared) -> Encoder:
+    """The encoder of a broadcast model; a worker process keeps it, and the words it has met, from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(shared.value)
+    return _ENCODERS[path]
+
+
 def _plain(column: pa.Array) -> pa.Array:
     """Texts with the space mark itself read as a space."""
     import pyarrow.compute as pc
@@ -280,7 +330,7 @@ def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(PieceModel(model_path))
 
     def encode(batches):
-        encoder = Encoder(shared.value)
+        encoder = piece_encoder(model_path, shared)
         for batch in batches:
             column = _plain(batch.column("text"))
             for first, n, data, offsets in tk.text_slices(column, _SLICE_BYTES):

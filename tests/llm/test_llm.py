@@ -152,9 +152,22 @@ def test_pieces_equal_the_library(spark, odd):
 
 def test_piece_recursion_equals_merging():
     model = piece_codec.PieceModel(tokenizer_path("piece_bpe_32k.model"))
-    words = ["▁internationalization", "▁the,", "▁ErEa", "▁aaaaaaaaaa", "▁def(x):", "▁naïve", "▁" + "z" * 40, "▁x==1"]
+    draw = np.random.default_rng(2)
+    words = ["▁internationalization", "▁the,", "▁ErEa", "▁aaaaaaaaaa", "▁def(x):", "▁naïve", "▁" + "z" * 40, "▁x==1", "▁▁▁a▁▁", "▁" * 77, "▁" + "日本語のテキスト、長い。" * 40, "▁" + "ab" * 300, "▁" + "=" * 101 + "-" * 77]
+    words += ["▁" + "".join(draw.choice(list("aabe▁tin日é=😀"), 90)) for _ in range(200)]
+    ids, lengths = model.encode_words(words)
     merged = [[i for p in model.merged(w) for i in model.piece_ids(p)] for w in words]
-    assert model.encode_words(words) == merged
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == merged
+
+
+def test_pieces_of_very_long_words_equal_the_library(spark):
+    from sentencepiece import SentencePieceProcessor
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    library = SentencePieceProcessor(model_file=path)
+    texts = ["x" * 3000, "日本語" * 20_000, "aé" * 2000 + "  " * 900 + "b", "word " * 60_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r["doc_id"]: r["ids"] for r in piece_codec.encode_texts(docs, path).collect()} == {i: library.encode(x) for i, x in enumerate(texts)}
 
 
 # 4
