@@ -34,6 +34,12 @@ SIMILARITY = (75, 100)
 #: Size bound of the broadcast list of frequent shingles, nine bytes each.
 FREQUENT_SHINGLES = 500_000
 _LOCAL_MINIMUM = 3
+#: Shingles that a task holds while it counts.
+_HELD_SHINGLES = 1_000_000
+#: Signatures that a task remembers of what it has met, eight bytes each.
+_MET_SIGNATURES = 500_000
+#: Prefix entries that meet in one part; there are as many parts as the data need.
+PART_ENTRIES = 1_000_000
 _BODY = np.uint64((1 << 56) - 1)
 
 
@@ -71,18 +77,43 @@ class Order:
         return found
 
 
+class _Met:
+    """Which signatures a task has met before, among at least the latest half of `_MET_SIGNATURES`."""
+
+    def __init__(self) -> None:
+        self.known, self.latest, self.pending = (np.zeros(0, np.uint64) for _ in range(3))
+
+    def new(self, signatures: np.ndarray) -> np.ndarray:
+        """Marks the first row of each signature not met yet."""
+        keep = np.zeros(len(signatures), dtype=bool)
+        fresh, first = np.unique(signatures, return_index=True)
+        seen = np.zeros(len(fresh), dtype=bool)
+        for table in (self.known, self.latest, self.pending):
+            if len(table):
+                seen |= table[np.minimum(np.searchsorted(table, fresh), len(table) - 1)] == fresh
+        keep[first[~seen]] = True
+        self.pending = np.union1d(self.pending, fresh[~seen])
+        if len(self.pending) > _MET_SIGNATURES // 64:
+            self.latest, self.pending = np.union1d(self.latest, self.pending), self.pending[:0]
+        if len(self.latest) > _MET_SIGNATURES // 2:
+            self.known, self.latest = self.latest, self.latest[:0]
+        return keep
+
+
 def frequent_shingles(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = FREQUENT_SHINGLES) -> tuple[np.ndarray, np.ndarray]:
     """The shingles that several documents of one input task hold most often: at most `most`, with counts."""
 
     def count(batches):
         held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        parts, size = [], 0
-        sets: set[int] = set()
+        parts, size, met = [], 0, _Met()
 
         def merged():
             tokens, counts = (np.concatenate(x) for x in zip(held, *parts, strict=True))
-            uniq, inverse = np.unique(tokens, return_inverse=True)
-            return uniq, np.bincount(inverse, weights=counts, minlength=len(uniq)).astype(np.int64)
+            at = np.argsort(tokens)
+            tokens = tokens[at]
+            sums = np.cumsum(counts[at])
+            last = np.flatnonzero(np.append(tokens[1:] != tokens[:-1], True)) if len(tokens) else np.zeros(0, np.int64)
+            return tokens[last], np.diff(sums[last], prepend=0)
 
         def out():
             often = held[1] >= _LOCAL_MINIMUM
@@ -91,22 +122,17 @@ def frequent_shingles(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = F
         for batch in batches:
             for _, _, data, offsets in tk.text_slices(batch.column(0)):
                 shingles, bounds = tk.shingle_sets(data, offsets, words)
-                keep = np.zeros(len(bounds) - 1, dtype=bool)
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tk.mix(shingles))])
-                for i, key in enumerate((sums[bounds[1:]] - sums[bounds[:-1]]).tolist()):
-                    keep[i] = key not in sets
-                    sets.add(key)
-                if len(sets) > 1_000_000:
-                    sets.clear()
+                keep = met.new(sums[bounds[1:]] - sums[bounds[:-1]])
                 tokens = np.sort(shingles[np.repeat(keep, np.diff(bounds))])
                 last = np.flatnonzero(np.append(tokens[1:] != tokens[:-1], True)) if len(tokens) else np.zeros(0, np.int64)
                 parts.append((tokens[last], np.diff(last, prepend=-1)))
                 size += len(last)
-                if size > 4_000_000:
+                if size > _HELD_SHINGLES:
                     held = merged()
                     parts = []
                     size = len(held[0])
-                    if size > 2_000_000:
+                    if size > _HELD_SHINGLES // 2:
                         yield out()
                         held, size = (held[0][:0], held[1][:0]), 0
         held = merged()
@@ -157,12 +183,12 @@ def _packed(values: np.ndarray) -> tuple[bytes, int]:
 def shared_prefixes(docs: DataFrame, order, words: int, threshold: Threshold, parts: int) -> DataFrame:
     """(token, prefix, size, pos) of every prefix shingle that two groups or more have.
 
-    Entries travel packed by hash part. A frequent shingle's entries go to parts by group as well and are all
+    A task emits a group once, however many copies it reads. Entries travel packed by hash part. A frequent shingle's entries go to parts by group as well and are all
     returned; other shingles meet in one part, where those of one group only are dropped.
     """
 
     def emit(batches):
-        held, size = [], 0
+        held, size, met = [], 0, _Met()
 
         def out():
             token, group, n, pos = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -187,10 +213,11 @@ def shared_prefixes(docs: DataFrame, order, words: int, threshold: Threshold, pa
                 n = np.diff(bounds)
                 prefix = np.where(n > 0, threshold.probe(n), 0)
                 group = _signatures(keys, bounds, prefix, 3)
+                prefix = np.where(met.new(group), prefix, 0)
                 pos = np.arange(prefix.sum()) - np.repeat(np.cumsum(prefix) - prefix, prefix)
                 held.append((keys[np.repeat(bounds[:-1], prefix) + pos], np.repeat(group, prefix), np.repeat(n, prefix), pos))
                 size += len(pos)
-                if size > 2_000_000:
+                if size > 1_000_000:
                     yield out()
                     held, size = [], 0
         if held:
@@ -279,7 +306,8 @@ def jaccard_components(docs: DataFrame, words: int = SHINGLE_WORDS, similarity:
     classes = staged(named.groupBy("set1", "set2", "n").agg(F.min("doc_id").alias("rep"), F.min("prefix").alias("prefix")), "classes")
     members = classes.select("prefix", F.col("rep").alias("doc"))
     leads = members.groupBy("prefix").agg(F.min("doc").alias("lead"))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1) * 2
+    prefixes = F.col("n") - F.ceil((threshold.num * F.col("n")) / threshold.den) + 1
+    parts = max(1, -(-int(classes.groupBy("prefix").agg(F.max(prefixes).alias("k")).agg(F.sum("k")).head()[0] or 0) // PART_ENTRIES))
     entries = staged(shared_prefixes(docs.where("doc_id is not null"), order, words, threshold, parts), "entries")
     whole = Window.partitionBy("prefix")
     entries = staged(entries.withColumns({"place": F.row_number().over(whole.orderBy("pos")) - 1, "shared": F.count("*").over(whole)}), "counted")
@@ -318,4 +346,5 @@ def jaccard_components(docs: DataFrame, words: int = SHINGLE_WORDS, similarity:
 
     labels = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("set1", "set2", "n", F.coalesce("component", "rep").alias("component"))
     placed = sets.join(labels, ["set1", "set2", "n"], "left")
-    return placed.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    named = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return placed.select("doc_id", F.col("n").alias("n_shingles"), named.alias("component_id"))
