@@ -1,11 +1,13 @@
 """Quality rules: word and line statistics of whole texts, and perplexity bands of a Spark-counted language model.
 
-The model is an interpolated modified Kneser-Ney model over characters (code points, A-Z lower-cased), one per
-language. Spark counts the n-grams of all documents and computes every probability with joins and aggregations.
-What scoring needs is linear in the n-grams of a text: each context h adds log gamma(h) and each seen n-gram
-adds log p(n-gram) - log gamma(its context) - log p(its suffix). These addends are stored in arrays sorted by
-64-bit hash. An array holds at most `block_entries` entries; a larger model has more arrays, each broadcast on
-its own, and the sums over arrays give the same score, so no model size changes a result.
+The model is an interpolated modified Kneser-Ney model over the bytes of UTF-8 text, as they are, so every character of
+every script counts in full; each language has its own. Spark counts the n-grams of all documents and computes every
+probability with joins and aggregations. What scoring needs is linear in the n-grams of a text: each context h adds
+log gamma(h) and each seen n-gram adds log p(n-gram) - log gamma(its context) - log p(its suffix). N-grams that stand in one place of the corpus shape the
+discounts and back-off weights, and scoring treats them as unseen, or each text would vouch for itself. These addends are
+stored in arrays sorted by 64-bit hash. An array holds at most about `block_entries` entries; a larger model has more
+arrays. Each is broadcast on its own; a task reads its texts once, and has one array in memory at a time while it
+adds up what the n-grams it has not met yet get from all of them, so no model size changes a result.
 
 Defined results: null or empty texts have zero counts, base_failed true and no perplexity. Nulls in lang form a
 language of their own. Rows are judged one by one, so repeated rows and doc_ids each get their row. Columns
@@ -26,19 +28,19 @@ from pyspark.sql import functions as F
 from . import textkernel as tk
 from .staging import staged
 
-ORDER = 4
+ORDER = 5
 LEAST_WORDS = 50
 BLOCK_ENTRIES = 4_000_000
 #: How many distances from the median to the quantile at one standard deviation a band reaches down and up.
 #: The README has the documents that several widths reject.
 BAND_WIDTH = 3.0
 BIN = 0.001
-_PAD = 2
+#: A byte that no UTF-8 text has.
+_PAD = 0xFF
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 _CACHE_ENTRIES = 1_000_000
-_LANGUAGES_AT_ONCE = 16
-_GRAM, _CONTEXT = 1, 2
+_GRAM, _CONTEXT, _WHOLE = 1, 2, 3
 
 
 def _salt(lang: str, kind: int, order: int) -> np.uint64:
@@ -51,28 +53,17 @@ def _hash(keys: np.ndarray, lang: str, kind: int, order: int) -> np.ndarray:
     return tk.mix(keys * np.uint64(0xD1342543DE82EF95) + _salt(lang, kind, order))
 
 
-def _keys(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at each character, 16 bits a character, and the characters' row bounds.
-
-    Before its first character a text has padding. Characters beyond the Basic Multilingual Plane are folded
-    onto its private-use area.
-    """
-    codes = np.frombuffer(tk.LOWER[data].tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    bounds = np.zeros(len(offsets), dtype=np.int64)
-    bounds[1:] = np.cumsum(tk.per_row((data & 0xC0) != 0x80, offsets))
-    keys = codes.astype(np.uint64)
-    beyond = keys > 0xFFFF
-    if beyond.any():
-        keys[beyond] = 0xE000 + (keys[beyond] & np.uint64(0x0FFF))
-    single = keys.copy()
-    begins = bounds[:-1][bounds[1:] > bounds[:-1]]
-    length = bounds[1:][bounds[1:] > bounds[:-1]] - begins
+def _keys(data: np.ndarray, offsets: np.ndarray, order: int) -> np.ndarray:
+    """The n-gram that ends at each byte, eight bits a byte; before its first byte a text has padding."""
+    single = data.astype(np.uint64)
+    keys = single.copy()
+    begins = offsets[:-1][offsets[1:] > offsets[:-1]]
+    length = offsets[1:][offsets[1:] > offsets[:-1]] - begins
     for k in range(1, order):
-        keys[k:] |= single[:-k] << np.uint64(16 * k)
-        for i in range(k):  # the padding that the k-th character before position i of a text is
-            at = begins[length > i] + i
-            keys[at] = (keys[at] & ~np.uint64(0xFFFF << (16 * k))) | np.uint64(_PAD << (16 * k))
-    return keys, bounds
+        keys[k:] |= single[:-k] << np.uint64(8 * k)
+        for i in range(k):  # the padding that the k-th byte before position i of a text is
+            keys[begins[length > i] + i] |= np.uint64(_PAD << (8 * k))
+    return keys
 
 
 def _by_language(batch: pa.RecordBatch):
@@ -88,7 +79,7 @@ def _by_language(batch: pa.RecordBatch):
 
 
 def count_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """Counts of all character n-grams of the highest order: (lang, gram, n)."""
+    """Counts of all byte n-grams of the highest order: (lang, gram, n)."""
 
     def count(batches):
         parts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -113,7 +104,7 @@ def count_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
         for batch in batches:
             for lang, _, data, offsets in _by_language(batch):
                 if len(data):
-                    keys = np.sort(_keys(data, offsets, order)[0])
+                    keys = np.sort(_keys(data, offsets, order))
                     last = np.flatnonzero(np.append(keys[1:] != keys[:-1], True))
                     parts.setdefault(lang, []).append((keys[last], np.diff(last, prepend=-1)))
                     held += len(last)
@@ -132,17 +123,20 @@ def count_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """Addends of an interpolated modified Kneser-Ney model: (lang, kind, n, gram, value).
 
-    The highest order uses the counts, lower orders the number of distinct characters before an n-gram. An
+    The highest order uses the counts, lower orders the number of distinct bytes before an n-gram. An
     entry of kind 2 is log gamma of a context; one of kind 1 what a seen n-gram adds beside its context.
-    Entries of kind 0 hold log(gamma / alphabet) for each language: what any character gets first.
+    Entries of kind 0 hold log(gamma / alphabet) for each language: what any byte gets first.
+
+    What stands in one place only has no entry: it counts in discounts and totals, but a text is not to find its own
+    oddities familiar.
     """
-    levels = {order: counts.select("lang", "gram", F.col("n").cast("double").alias("c"))}
+    levels = {order: counts.select("lang", "gram", F.col("n").cast("double").alias("c"), F.col("n").alias("places"))}
     for n in range(order - 1, 0, -1):
-        levels[n] = staged(levels[n + 1].groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 16 * n) - 1)).alias("gram")).agg(F.count("*").cast("double").alias("c")), f"level{n}")
+        levels[n] = staged(levels[n + 1].groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 8 * n) - 1)).alias("gram")).agg(F.count("*").cast("double").alias("c"), F.sum("places").alias("places")), f"level{n}")
     out = []
     lower = None
     for n in range(1, order + 1):
-        grams = levels[n].withColumn("h", F.shiftrightunsigned("gram", 16))
+        grams = levels[n].withColumn("h", F.shiftrightunsigned("gram", 8))
         bucket = [F.sum((F.col("c") == k).cast("double")).alias(f"n{k}") for k in (1, 2, 3, 4)]
         discounts = grams.groupBy("lang").agg(*bucket)
         y = F.when(F.col("n1") + 2 * F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.5))
@@ -155,7 +149,8 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
         )
         d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         grams = grams.join(F.broadcast(discounts), "lang").withColumn("d", F.least(d, F.col("c")))
-        contexts = grams.groupBy("lang", "h").agg(F.sum("c").alias("total"), F.sum("d").alias("mass"), F.count("*").alias("kinds"))
+        contexts = grams.groupBy("lang", "h").agg(F.sum("c").alias("total"), F.sum("d").alias("mass"), F.count("*").alias("kinds"), F.sum("places").alias("places"))
+        grams = grams.where("places > 1")
         if n == 1:
             contexts = contexts.select("lang", "h", "total", (F.col("mass") / F.col("total")).alias("gamma"), F.log(F.col("mass") / F.col("total") / (F.col("kinds") + 1)).alias("base"))
             out.append(contexts.select("lang", F.lit(0).alias("kind"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("gram"), F.col("base").alias("value")))
@@ -163,11 +158,11 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
                 "lang", "gram", F.log((F.col("c") - F.col("d")) / F.col("total") + F.exp("base")).alias("logp"), F.col("base").alias("rest")
             )
         else:
-            contexts = contexts.select("lang", "h", "total", (F.col("mass") / F.col("total")).alias("gamma"))
+            contexts = contexts.where("places > 1").select("lang", "h", "total", (F.col("mass") / F.col("total")).alias("gamma"))
             out.append(contexts.select("lang", F.lit(_CONTEXT).alias("kind"), F.lit(n - 1).alias("n"), F.col("h").alias("gram"), F.log("gamma").alias("value")))
             found = (
                 grams.join(contexts, ["lang", "h"])
-                .withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << 16 * (n - 1)) - 1)))
+                .withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << 8 * (n - 1)) - 1)))
                 .join(lower.select("lang", F.col("gram").alias("suffix"), F.col("logp").alias("below")), ["lang", "suffix"])
                 .select("lang", "gram", F.log((F.col("c") - F.col("d")) / F.col("total") + F.col("gamma") * F.exp("below")).alias("logp"), (F.log("gamma") + F.col("below")).alias("rest"))
             )
@@ -207,69 +202,64 @@ def hash_blocks(model: DataFrame, block_entries: int = BLOCK_ENTRIES) -> tuple[D
 
 
 class _Scorer:
-    """Sums of the addends that one hash array has for the n-grams ending at each character.
-
-    What was found for an n-gram is kept in a bounded table addressed by its hash; the few n-grams that share
-    a place with another are kept sorted.
-    """
+    """Log probabilities of the bytes that n-grams end in, remembered for the n-grams met last."""
 
-    def __init__(self, hashes: bytes, values: bytes, order: int, lang: str) -> None:
-        self.hashes = np.frombuffer(hashes, np.uint64)
-        self.values = np.frombuffer(values, np.float32).astype(np.float64)
-        self.order, self.lang = order, lang
+    def __init__(self, arrays: list, order: int) -> None:
+        self.arrays, self.order = arrays, order
         self._forget()
 
     def _forget(self) -> None:
-        self.known, self.scores = np.zeros(1, np.uint64), np.zeros(1)
-        self.table, self.bits = np.zeros(1 << 18, np.int32), 18
-        self.crowded = np.zeros(0, np.int64)
-
-    def _lookup(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(keys))
-        at = np.minimum(np.searchsorted(self.hashes, keys), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == keys, self.values[at], 0.0)
-
-    def _place(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
-
-    def _learn(self, keys: np.ndarray) -> None:
-        total = self._lookup(_hash(keys & np.uint64(0), self.lang, 0, 0))
-        for n in range(1, self.order + 1):
-            gram = keys & np.uint64((1 << 16 * n) - 1)
-            total += self._lookup(_hash(gram, self.lang, _GRAM, n))
-            if n > 1:
-                total += self._lookup(_hash(gram >> np.uint64(16), self.lang, _CONTEXT, n - 1))
-        if len(self.known) + len(keys) > _CACHE_ENTRIES:
+        self.table, self.scores = tk.HashTable(), tk.Buffer(np.float64)
+
+    def unknown(self, lang: str, keys: np.ndarray) -> np.ndarray:
+        names = _hash(keys, lang, _WHOLE, self.order)
+        missing = np.flatnonzero(self.table.find(names) < 0)
+        return keys[missing[np.unique(names[missing], return_index=True)[1]]]
+
+    def _addends(self, lang: str, keys: np.ndarray, hashes: np.ndarray, values: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(keys))
+
+        def add(names: np.ndarray) -> None:
+            at = np.minimum(np.searchsorted(hashes, names), len(hashes) - 1)
+            hit = np.flatnonzero(hashes[at] == names)
+            total[hit] += values[at[hit]]
+
+        if len(hashes):
+            add(_hash(keys & np.uint64(0), lang, 0, 0))
+            for n in range(1, self.order + 1):
+                gram = keys & np.uint64((1 << 8 * n) - 1)
+                add(_hash(gram, lang, _GRAM, n))
+                if n > 1:
+                    add(_hash(gram >> np.uint64(8), lang, _CONTEXT, n - 1))
+        return total
+
+    def learn(self, pending: dict[str, list[np.ndarray]]) -> None:
+        """Sums up, array by array, what these n-grams get."""
+        new = [(lang, self.unknown(lang, np.concatenate(parts))) for lang, parts in pending.items() if parts]
+        sums = [np.zeros(len(keys)) for _, keys in new]
+        for array in self.arrays:
+            hashes, values = (np.frombuffer(x, kind) for x, kind in zip(array.value, (np.uint64, np.float32), strict=True))
+            for (lang, keys), total in zip(new, sums, strict=True):
+                total += self._addends(lang, keys, hashes, values)
+            if len(self.arrays) > 1:  # a worker has room for one array, not for all
+                array.__dict__.pop("_value", None)
+        if self.table.size and self.table.size + sum(len(x) for x in sums) > _CACHE_ENTRIES:
             self._forget()
-        self.known, self.scores = np.concatenate([self.known, keys]), np.concatenate([self.scores, total])
-        while len(self.known) > 1 << (self.bits - 2):
-            self.bits += 1
-        self.table = np.zeros(1 << self.bits, np.int32)
-        place = self._place(self.known)
-        self.table[place] = np.arange(len(self.known))
-        crowded = np.flatnonzero(self.table[place] != np.arange(len(self.known)))
-        self.crowded = crowded[np.argsort(self.known[crowded])]
-        self.crowded_keys = self.known[self.crowded]
-
-    def _find(self, keys: np.ndarray) -> np.ndarray:
-        found = self.table[self._place(keys)]
-        other = np.flatnonzero(self.known[found] != keys)
-        if len(other) and len(self.crowded):
-            at = np.minimum(np.searchsorted(self.crowded_keys, keys[other]), len(self.crowded) - 1)
-            found[other] = self.crowded[at]
-        return found
-
-    def score(self, keys: np.ndarray) -> np.ndarray:
-        found = self._find(keys)
-        new = self.known[found] != keys
-        if new.any():
-            self._learn(np.unique(keys[new]))
-            found = self._find(keys)
-            if (self.known[found] != keys).any():  # what was known was forgotten to make room
-                self._learn(np.unique(keys[self.known[found] != keys]))
-                found = self._find(keys)
-        return self.scores[found]
+        for (lang, keys), total in zip(new, sums, strict=True):
+            self.table.insert(_hash(keys, lang, _WHOLE, self.order))
+            self.scores.add(total)
+
+    def score(self, lang: str, keys: np.ndarray) -> np.ndarray:
+        names = _hash(keys, lang, _WHOLE, self.order)
+        found = self.table.find(names)
+        if (found < 0).any():  # what was known was forgotten to make room
+            self.learn({lang: [keys]})
+            found = self.table.find(names)
+        if (found < 0).any():
+            self._forget()
+            self.learn({lang: [keys]})
+            found = self.table.find(names)
+        return self.scores.data[found]
 
 
 def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -315,44 +305,38 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def score_documents(docs: DataFrame, blocks: DataFrame, n_blocks: int, order: int = ORDER) -> DataFrame:
-    """Base statistics, code points and log probability of each document: (doc_id, counts..., n_codes, logp)."""
+    """Base statistics, bytes and log probability of each document: (doc_id, lang, counts..., n_bytes, logp)."""
     spark = docs.sparkSession
-    fields = "doc_id bigint, lang string, " + ", ".join(f"{x} bigint" for x in _COUNTS) + ", n_codes bigint, logp double, text_hash bigint"
-    names = ["doc_id", "lang", *_COUNTS, "n_codes", "logp", "text_hash"]
+    fields = "doc_id bigint, lang string, " + ", ".join(f"{x} bigint" for x in _COUNTS) + ", n_bytes bigint, logp double"
+    names = ["doc_id", "lang", *_COUNTS, "n_bytes", "logp"]
 
-    def one(block: int) -> DataFrame:
+    def shared(block: int):
         row = blocks.where(F.col("block") == block).head()
-        array = spark.sparkContext.broadcast((bytes(row["hashes"]), bytes(row["values"])) if row else (b"", b""))
-
-        def score(batches):
-            scorers: dict[str, _Scorer] = {}
-            for batch in batches:
-                found = {x: np.zeros(batch.num_rows, np.float64 if x == "logp" else np.int64) for x in names[2:]}
-                for lang, rows, data, offsets in _by_language(batch):
-                    for name, values in base_statistics(data, offsets).items():
-                        found[name][rows] = values
-                    if len(data):
-                        if lang not in scorers:
-                            if len(scorers) >= _LANGUAGES_AT_ONCE:
-                                scorers.clear()
-                            scorers[lang] = _Scorer(*array.value, order, lang)
-                        keys, bounds = _keys(data, offsets, order)
-                        found["logp"][rows] = _sums(scorers[lang].score(keys), bounds)
-                        found["n_codes"][rows] = np.diff(bounds)
-                        filled = np.flatnonzero(np.diff(offsets))
-                        found["text_hash"][rows[filled]] = tk.run_hashes(data, offsets[filled], offsets[filled + 1]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("lang")] + [pa.array(found[x]) for x in names[2:]], names)
-
-        return docs.select("doc_id", "text", "lang").mapInArrow(score, fields)
-
-    if n_blocks == 1:
-        return one(0).drop("text_hash")
-    parts = one(0)
-    for block in range(1, n_blocks):
-        parts = parts.unionByName(one(block))
-    keys = ["doc_id", "lang", *_COUNTS, "n_codes", "text_hash"]
-    merged = parts.groupBy(*keys).agg(F.sum("logp").alias("total"), (F.count("*") / n_blocks).cast("int").alias("copies"))
-    return merged.select(*keys[:-1], (F.col("total") / F.col("copies")).alias("logp"), F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
+        return spark.sparkContext.broadcast((bytes(row["hashes"]), bytes(row["values"])) if row else (b"", b""))
+
+    arrays = [shared(block) for block in range(n_blocks)]
+
+    def score(batches):
+        scorer = _Scorer(arrays, order)
+        for batch in batches:
+            pending: dict[str, list[np.ndarray]] = {}
+            held = 0
+            for lang, _, data, offsets in _by_language(batch):
+                pending.setdefault(lang, []).append(scorer.unknown(lang, _keys(data, offsets, order)))
+                held += len(pending[lang][-1])
+                if held > _CACHE_ENTRIES // 2:
+                    scorer.learn(pending)
+                    pending, held = {}, 0
+            scorer.learn(pending)
+            found = {x: np.zeros(batch.num_rows, np.float64 if x == "logp" else np.int64) for x in names[2:]}
+            for lang, rows, data, offsets in _by_language(batch):
+                for name, values in base_statistics(data, offsets).items():
+                    found[name][rows] = values
+                found["logp"][rows] = _sums(scorer.score(lang, _keys(data, offsets, order)), offsets)
+                found["n_bytes"][rows] = np.diff(offsets)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("lang")] + [pa.array(found[x]) for x in names[2:]], names)
+
+    return docs.select("doc_id", "text", "lang").mapInArrow(score, fields)
 
 
 def perplexity_bands(scored: DataFrame, least_words: int = LEAST_WORDS, width: float = BAND_WIDTH) -> DataFrame:
@@ -360,8 +344,8 @@ def perplexity_bands(scored: DataFrame, least_words: int = LEAST_WORDS, width: f
 
     Quantiles come from whole histograms with bins of 0.001, so they do not depend on how rows are dealt out.
     """
-    usable = scored.where((F.col("n_words") >= least_words) & (F.col("n_codes") > 0))
-    bins = usable.groupBy("lang", F.floor(-F.col("logp") / F.col("n_codes") / BIN).alias("bin")).agg(F.count("*").alias("n"))
+    usable = scored.where((F.col("n_words") >= least_words) & (F.col("n_bytes") > 0))
+    bins = usable.groupBy("lang", F.floor(-F.col("logp") / F.col("n_bytes") / BIN).alias("bin")).agg(F.count("*").alias("n"))
     below = F.sum("n").over(Window.partitionBy("lang").orderBy("bin"))
     total = F.sum("n").over(Window.partitionBy("lang"))
     placed = bins.select("lang", "bin", (below / total).alias("share"))
@@ -383,7 +367,7 @@ def quality_rules(docs: DataFrame, order: int = ORDER, width: float = BAND_WIDTH
     bands = perplexity_bands(scored, least_words, width)
     joined = scored.alias("s").join(F.broadcast(bands).alias("b"), F.col("s.lang").eqNullSafe(F.col("b.lang")), "left")
     base_failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    level = F.when(F.col("n_codes") > 0, -F.col("logp") / F.col("n_codes"))
+    level = F.when(F.col("n_bytes") > 0, -F.col("logp") / F.col("n_bytes"))
     inside = F.coalesce((level >= F.col("low")) & (level <= F.col("high")), F.lit(True))
     return joined.select(
         "doc_id", *_COUNTS, base_failed.alias("base_failed"), (~base_failed & inside).alias("kept"),

@@ -175,14 +175,18 @@ def test_pieces_of_very_long_words_equal_the_library(spark):
 
 def brute_model(texts, order):
     """Interpolated modified Kneser-Ney with the same counts, in plain dictionaries."""
-    pad = "\x02" * (order - 1)
+    pad = b"\xff" * (order - 1)
     counts = {order: collections.Counter()}
     for t in texts:
-        s = pad + t.translate(LOWER)
+        s = pad + t.encode()
         for i in range(order - 1, len(s)):
             counts[order][s[i - order + 1 : i + 1]] += 1
+    places = {order: counts[order]}
     for n in range(order - 1, 0, -1):
         counts[n] = collections.Counter(g[1:] for g in counts[n + 1])
+        places[n] = collections.Counter()
+        for g, v in places[n + 1].items():
+            places[n][g[1:]] += v
     discounts, totals, gammas = {}, {}, {}
     for n in counts:
         c = collections.Counter(counts[n].values())
@@ -195,19 +199,23 @@ def brute_model(texts, order):
             mass[g[:-1]] += min(discounts[n][min(v, 3) - 1], v)
         totals[n], gammas[n] = total, {h: mass[h] / total[h] for h in total}
     alphabet = len(counts[1]) + 1
+    stood = {n: collections.Counter() for n in counts}
+    for n in counts:
+        for g, v in places[n].items():
+            stood[n][g[:-1]] += v
 
     def p(gram):
         n = len(gram)
         if n == 0:
             return 1 / alphabet
         h = gram[:-1]
-        if h not in totals[n]:
+        if n > 1 and stood[n][h] < 2:
             return p(gram[1:])
-        v = counts[n].get(gram, 0)
+        v = counts[n][gram] if places[n][gram] > 1 else 0
         seen = (v - min(discounts[n][min(v, 3) - 1], v)) / totals[n][h] if v else 0
         return seen + gammas[n][h] * p(gram[1:])
 
-    return lambda t: sum(math.log(p((pad + t.translate(LOWER))[i : i + order])) for i in range(len(t)))
+    return lambda t: sum(math.log(p((pad + t.encode())[i : i + order])) for i in range(len(t.encode())))
 
 
 def brute_base(text):
@@ -221,7 +229,7 @@ def brute_base(text):
 
 
 @needs_data
-@pytest.mark.parametrize("entries", [4_000_000, 3_000])
+@pytest.mark.parametrize("entries", [4_000_000, 30_000])
 def test_rules_equal_brute_force(spark, documents, entries):
     docs = documents.where("lang in ('fr', 'es')")
     rows = docs.select("doc_id", "text", "lang").collect()
@@ -234,7 +242,7 @@ def test_rules_equal_brute_force(spark, documents, entries):
             got = found[r["doc_id"]]
             assert (got["n_words"], got["word_chars"], got["n_symbols"], got["n_dup_lines"], got["n_repeat_words"], got["base_failed"]) == brute_base(r["text"])
             if r["text"]:
-                assert got["perplexity"] == pytest.approx(math.exp(-logp(r["text"]) / len(r["text"])), rel=1e-4)
+                assert got["perplexity"] == pytest.approx(math.exp(-logp(r["text"]) / len(r["text"].encode())), rel=1e-4)
             inside = got["lower_band"] is None or got["perplexity"] is None or got["lower_band"] <= got["perplexity"] <= got["upper_band"]
             assert got["kept"] == (not got["base_failed"] and inside)
 
@@ -465,6 +473,40 @@ def test_search_recall_scores_and_ties(spark):
     assert vector_search.nearest_neighbours(few.limit(0), F.lit(True)).count() == 0
 
 
+def test_search_is_complete(spark):
+    random = np.random.Generator(np.random.PCG64(5))
+    x = np.concatenate([random.normal(size=(4000, 8)), random.normal(size=(5, 8)) + 1000])
+    rows = [(i + 1, [float(v) for v in x[i]]) for i in range(len(x))] + [(4100, [float(v) for v in x[0]]), (4100, [float(v) for v in x[1]])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, vector array<double>")
+    found = vector_search.nearest_neighbours(vectors, F.col("vec_id").isin(4001, 4100)).toPandas()
+    alone = found[found.query_id == 4001].sort_values("rank")
+    assert alone["rank"].tolist() == list(range(1, 11)) and set(alone.vec_id[:4]) == {4002, 4003, 4004, 4005} and alone.vec_id.is_unique
+    twice = found[found.query_id == 4100]
+    assert sorted(twice["rank"].tolist()) == sorted([*range(1, 11)] * 2) and {1, 2} <= set(twice[twice["rank"] == 1].vec_id)
+    nothing = spark.createDataFrame([(1, None), (None, [1.0])], "vec_id bigint, vector array<double>")
+    assert vector_search.nearest_neighbours(nothing, F.lit(True)).count() == 0
+
+
+@needs_data
+def test_search_recall_on_the_embeddings(spark):
+    sf = SF.replace("sf0.001", "sf0.1")
+    table = spark.read.parquet(f"{sf}/embeddings.parquet")
+    found = queries()["op10_vector_search"](spark, sf).toPandas()
+    data = table.toPandas().dropna()
+    x = np.array(data.embedding.tolist(), dtype=np.float64)
+    ids = data.vec_id.to_numpy()
+    hits = total = 0
+    for q in np.flatnonzero(ids % 100 == 0):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        best = ids[np.lexsort((ids, d))[:10]]
+        mine = found[found.query_id == ids[q]]
+        assert len(mine) == min(10, len(ids) - 1)
+        hits += len(set(best) & set(mine.vec_id))
+        total += len(best)
+    assert hits >= 0.9 * total
+
+
 # the pipeline
 
 
