@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import containment_score, looks_like_identifier, norm, plain_tokens
@@ -23,21 +23,23 @@ def reconcile(new: DataFrame, existing: DataFrame, min_score: float = MIN_SCORE)
 
     Rule `identity`: all facets equal; of equal existing nodes the last wins. Else the anchor (term, qualifier,
     type) must be equal and the attributes alike by at least min_score: equal 1, one side empty min_score itself;
-    the first best wins. The rule is `grounded` if the term is an identifier, else `lexical`. Anchors that differ
+    the first best wins. Attributes are scored once for each anchor, however many nodes bear them. The rule is `grounded` if the term is an identifier, else `lexical`. Anchors that differ
     never match, whatever the score.
     """
     a, b = _folded(new, "new"), _folded(existing, "old")
     keys = ["k_entity_term", "k_qualifier", "k_entity_type"]
     last = b.groupBy(*keys, "old_measured_attribute").agg(F.max_by("old_id", "old_ord").alias("old_id"))
     exact = a.join(last, [*[a[k] == last[k] for k in keys], a["new_measured_attribute"] == last["old_measured_attribute"]]).select("new_id", F.col("old_id").alias("existing_id"), F.lit("identity").alias("rule"), F.lit(1.0).alias("score"))
-    pairs = a.join(b, keys).where(F.col("k_entity_term") != "")
+    named = F.col("k_entity_term") != ""
+    asked = a.where(named).select(*keys, "new_measured_attribute").distinct().withColumn("x", plain_tokens(F.col("new_measured_attribute")))
+    held = b.where(named).groupBy(*keys, "old_measured_attribute").agg(F.min(F.struct("old_ord", "old_id")).alias("first")).withColumn("y", plain_tokens(F.col("old_measured_attribute")))
     x, y = F.col("new_measured_attribute"), F.col("old_measured_attribute")
-    score = F.when(x == y, 1.0).when((x == "") | (y == ""), min_score).otherwise(containment_score(plain_tokens(x), plain_tokens(y)))
+    score = F.when(x == y, 1.0).when((x == "") | (y == ""), min_score).otherwise(containment_score(F.col("x"), F.col("y")))
+    scored = asked.join(held, keys).withColumn("score", score).where(F.col("score") >= min_score)
+    best = scored.groupBy(*keys, "new_measured_attribute").agg(F.min(F.struct((-F.col("score")).alias("s"), "first.old_ord", "first.old_id")).alias("b"))
     rule = F.when(looks_like_identifier(F.col("new_term")), "grounded").otherwise("lexical")
-    scored = pairs.withColumn("score", score).where(F.col("score") >= min_score).join(exact.select("new_id"), "new_id", "left_anti")
-    order = Window.partitionBy("new_id").orderBy(F.desc("score"), "old_ord")
-    best = scored.withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
-    return exact.unionByName(best.select("new_id", F.col("old_id").alias("existing_id"), rule.alias("rule"), F.round("score", 3).alias("score")))
+    found = a.join(exact.select("new_id"), "new_id", "left_anti").join(best, [*keys, "new_measured_attribute"])
+    return exact.unionByName(found.select("new_id", F.col("b.old_id").alias("existing_id"), rule.alias("rule"), F.round(-F.col("b.s"), 3).alias("score")))
 
 
 def adopt(new: DataFrame, existing: DataFrame, matches: DataFrame, fields: list[str]) -> DataFrame:

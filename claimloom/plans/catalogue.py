@@ -215,7 +215,11 @@ _RESOLVED = f"""n as (select graph_ord, item_ord, 'r' || (item_ord % 3) as raw_i
     k as (select graph_ord, key, arg_min(id, p) as id from l group by 1, 2)"""
 
 
-@query(f"with {_RESOLVED} select n.graph_ord, item_ord, coalesce(a.id, n.raw_id) as subject, coalesce(b.id, case when item_ord % 2 = 0 then n.name else 'none' end) as object from n left join k a on a.graph_ord = n.graph_ord and a.key = n.raw_id left join k b on b.graph_ord = n.graph_ord and b.key = case when item_ord % 2 = 0 then n.name else 'none' end")
+@query(
+    f"with {_RESOLVED}, e as (select graph_ord, item_ord, raw_id, case when item_ord % 2 = 0 then name else 'none' end as target from n)"
+    " select e.graph_ord, e.item_ord, coalesce(a.id, e.raw_id) as subject, coalesce(b.id, e.target) as object from e"
+    " left join k a on a.graph_ord = e.graph_ord and a.key = e.raw_id left join k b on b.graph_ord = e.graph_ord and b.key = e.target"
+)
 def resolve_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Endpoints given by original id or by name."""
     label = lambda p, x: F.concat(F.lit(p), x.cast("string"))
