@@ -342,9 +342,13 @@ def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
 
 
 def decode_ids(coded: DataFrame, model_path: str, ids: str = "ids", text: str = "text") -> DataFrame:
-    """coded with the text of its ids as a further column; ids outside the vocabulary count as unknown."""
+    """coded with the text of its ids as a further column; ids outside the vocabulary count as unknown.
+
+    A column named as the text is replaced.
+    """
     from pyspark.sql.types import StringType, StructType
 
+    coded = coded.drop(text)
     shared = coded.sparkSession.sparkContext.broadcast(PieceModel(model_path).bytes)
 
     def decode(batches):

@@ -7,8 +7,8 @@ of its tokens' word vectors and index vectors. Labels are learned from at most `
 whose hashed id is smallest; a part of them is set aside to fit the temperature of the probabilities.
 
 Defined results: a text without tokens (null, empty, only white space) has zero features and gets the network's
-score for them. Rows are scored one by one, so repeated rows and ids each get theirs. A document labelled more
-than once counts with its lowest label; null labels and ids are not learned from. Without any label every score
+score for them. Rows are scored one by one, so repeated rows and ids each get theirs. An id that several rows
+share is learned from the row with the smallest text hash. A document labelled more than once counts with its lowest label; null labels and ids are not learned from. Without any label every score
 is 0.5. An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -170,17 +170,19 @@ def train_classifier(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -
     def features(batches):
         for batch in batches:
             found = pooled(batch.column("text"), shared.value)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(list(found.astype(np.float64).reshape(len(found), -1)), pa.list_(pa.float64()))], ["doc_id", "label", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), batch.column("place"), pa.array(list(found.astype(np.float64).reshape(len(found), -1)), pa.list_(pa.float64()))], ["doc_id", "label", "place", "features"])
 
     few = F.broadcast(spark.createDataFrame(chosen.to_pandas()[["doc_id", "label"]]).selectExpr("cast(doc_id as bigint) doc_id", "cast(label as int) label"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(few, "doc_id").select("doc_id", "label", "text")
-    rows = texts.mapInArrow(features, "doc_id bigint, label int, features array<double>").toArrow().sort_by("doc_id")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(few, "doc_id").select("doc_id", "label", F.xxhash64("text").alias("place"), "text")
+    rows = texts.mapInArrow(features, "doc_id bigint, label int, place bigint, features array<double>")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("place", "label", "features")).alias("x")).select("doc_id", "x.label", "x.features").toArrow().sort_by("doc_id")
     table = np.array(rows.column("features").to_pylist(), dtype=np.float64).reshape(rows.num_rows, 2 * DIMENSIONS + 1)
     return vectors, fit_network(table, (rows.column("label").to_numpy() > 0).astype(np.float64))
 
 
 def with_scores(docs: DataFrame, vectors: np.ndarray, network: Network, name: str = "score") -> DataFrame:
-    """docs with the probability of label 1 as a further column."""
+    """docs with the probability of label 1 as a further column; a column of that name is replaced."""
+    docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast((vectors, network))
 
     def score(batches):

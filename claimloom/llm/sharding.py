@@ -1,9 +1,10 @@
 """Sharding by a hierarchical weighted hash tree.
 
-A document descends region, rack and shard: at each node it draws, for every child, -ln(u) / weight from a hash of
-its id and the child's name, and goes to the least. Each child gets documents in proportion to its weight, and if a
-child's weight grows, documents move only into that child. A further shard is a region of its own, so growth moves
-documents only into the new shard; what goes on inside other subtrees stays.
+A document descends region, rack and shard: at each node it goes to the child with the least draw. A shard draws
+-ln(u) / weight from a hash of the document's id and the shard's name; a rack or region has the least draw of its
+shards, which is a draw with the sum of their weights. Each child thus gets documents in proportion to its weight, and
+if a shard's weight grows, or a shard is added, documents move only into that shard; what goes on inside other subtrees
+stays. One rule gives the tree of any number of shards: racks of two, regions of two racks.
 
 Defined results: null texts have no bytes (size 1, crc32 of nothing). A null doc_id is an id like any other; rows
 with one id share a shard, whatever their text. Slots number a shard's rows without gaps by hashed bucket, doc_id
@@ -31,18 +32,11 @@ class Node:
     shard: int | None = None
     own_weight: float = 1.0
 
-    @property
-    def weight(self) -> float:
-        return sum(x.weight for x in self.children) if self.children else self.own_weight
 
-
-def topology(shards: int, base: int = SHARDS) -> Node:
-    """`base` shards as regions of two racks of two shards, every further shard as a region of its own."""
+def topology(shards: int) -> Node:
+    """Shards in racks of two and regions of two racks; the last ones may hold fewer."""
     root = Node("root")
     for s in range(shards):
-        if shards < base or s >= base or base % 4:
-            root.children.append(Node(f"alone{s}", [Node(f"alone{s}/rack", [Node(f"alone{s}/rack/{s}", shard=s)])]))
-            continue
         if s % 4 == 0:
             root.children.append(Node(f"region{s // 4}"))
         region = root.children[-1]
@@ -54,8 +48,11 @@ def topology(shards: int, base: int = SHARDS) -> Node:
 
 
 def _draw(key, node: Node):
+    if node.children:
+        drawn = [_draw(key, x) for x in node.children]
+        return F.least(*drawn) if len(drawn) > 1 else drawn[0]
     u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(node.name)), 11).cast("double") + 1) / float(1 << 53)
-    return -F.log(u) / F.lit(float(node.weight))
+    return -F.log(u) / F.lit(float(node.own_weight))
 
 
 def shard_of(key, node: Node):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; only where it is unset (tests on one machine) a temporary folder."""
+    """The cluster's spark.checkpoint.dir; where it is unset, a temporary folder on one machine and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = getattr(spark, "_claimloom_folder", None) or tempfile.mkdtemp(prefix="claimloom-")
         spark._claimloom_folder = found
     return found.rstrip("/")

@@ -76,6 +76,28 @@ def test_classifier_learns_labels_and_keeps_the_held_out_fold(spark):
     assert np.allclose(found.sort_values("doc_id").score, again.sort_values("doc_id").score)
 
 
+def test_classifier_learns_once_from_a_repeated_id(spark):
+    docs = spark.createDataFrame([(1, "good text here", 0.0)] * 500 + [(2, "bad bad", 1.0), (3, None, 1.0)], "doc_id bigint, text string, Score double")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, label int")
+    vectors, network = quality_classifier.train_classifier(docs, labels)
+    scored = quality_classifier.with_scores(docs, vectors, network, "score")
+    assert scored.columns == ["doc_id", "text", "score"] and scored.count() == 502
+
+
+def test_staged_tables_need_a_shared_folder_on_a_cluster():
+    from claimloom.llm.staging import shared_folder
+
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: None)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster())
+
+
 def test_classifier_odd_rows(spark, odd):
     labels = spark.createDataFrame([(3, 1), (3, 0), (6, 0), (None, 1), (5, None)], "doc_id bigint, quality int")
     found = quality_classifier.classify_quality(odd, labels).collect()
@@ -335,6 +357,15 @@ def test_sharding_laws(spark, odd):
     assert sharding.shard_documents(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shards", [1, 2, 3, 5, 7, 8, 12])
+def test_a_further_shard_takes_rows_only_into_itself(spark, shards):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    found = sharding.shard_documents(docs, shards).toPandas()
+    moved = found[found.shard != found.grown_shard]
+    assert set(found.shard) == set(range(shards)) and set(moved.grown_shard) == {shards}
+    assert abs(len(moved) - 3000 / (shards + 1)) < 150
+
+
 def test_weights_move_only_into_the_heavier_subtree(spark):
     before, after = sharding.topology(8), sharding.topology(8)
     after.children[1].children[0].children[1].own_weight = 3.0
