@@ -18,17 +18,23 @@ from claimloom.llm.staging import staged
 
 
 def classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier predicts as label 1."""
+    """Documents that the quality classifier predicts as label 1; texts that are null or empty are judged like any other."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~in_fold(F.col("doc_id"), 1)).select("doc_id", F.col("quality").alias("label"))
     vectors, network = train_classifier(docs, labels)
-    return with_scores(docs, vectors, network, "quality_score").where("quality_score >= 0.5").drop("quality_score")
+    score = _free(docs, "quality_score")
+    return with_scores(docs, vectors, network, score).where(F.col(score) >= 0.5).select(*docs.columns)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs do not have."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """Every row with a number of its own, and that column's name; staged, as a row must keep its number when read again."""
-    row = "row"
-    while row.lower() in (c.lower() for c in docs.columns):
-        row += "_"
+    row = _free(docs, "row")
     return staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
