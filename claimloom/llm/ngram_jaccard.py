@@ -10,7 +10,9 @@ expanded to members, whose whole texts are compared exactly.
 Copies need no pairs: a first round compares every group with one leader for each shared shingle and merges
 what links. The leader is the group in whose order the shingle comes earliest: edits put rare shingles first, so
 this is the least edited of a family, the one that links with most. A second round compares the remaining candidates whose components still differ, all of them, so
-that no link between components is lost.
+that no link between components is lost. Of the shingles that the very same groups share, such as those of one
+passage, only the first in the order is joined there: two sets that link pass every filter at their first common
+shingle, and no shingle of the same groups can come before it.
 
 Defined results: a null or empty text has no shingles and is a component of its own. Rows that repeat a doc_id
 are one document, linked if any of its rows links; each row is returned. Rows with a null doc_id are returned
@@ -329,8 +331,10 @@ def jaccard_components(docs: DataFrame, words: int = SHINGLE_WORDS, similarity:
     placed = staged(placed, "placed")
     spans = placed.groupBy("prefix").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     spread = entries.join(spans, "prefix")
-    mixed = spread.groupBy("token").agg(F.min("low").alias("x"), F.max("high").alias("y")).where("x <> y").select("token")
-    rest = staged(spread.join(mixed, "token"), "rest")
+    holders = [F.count("*").alias("k"), F.bit_xor(F.xxhash64("prefix")).alias("h1"), F.bit_xor(F.xxhash64("prefix", F.lit(1))).alias("h2")]
+    mixed = spread.groupBy("token").agg(F.min("low").alias("x"), F.max("high").alias("y"), *holders).where("x <> y")
+    first_of = mixed.groupBy("k", "h1", "h2").agg(F.min(F.col("token").bitwiseXOR(F.lit(-(1 << 63)))).alias("t")).select(F.col("t").bitwiseXOR(F.lit(-(1 << 63))).alias("token"))
+    rest = staged(spread.join(first_of, "token"), "rest")
     apart = (F.col("p.low") != F.col("p.high")) | (F.col("q.low") != F.col("q.high")) | (F.col("p.low") != F.col("q.low"))
     pairs = rest.alias("p").join(rest.alias("q"), "token").where((F.col("p.prefix") < F.col("q.prefix")) & apart & _passes("p", "q", threshold))
     pairs = pairs.select(F.col("p.prefix").alias("g"), F.col("q.prefix").alias("h")).distinct()
