@@ -35,9 +35,9 @@ SHINGLE_WORDS = 5
 SIMILARITY = (75, 100)
 #: Size bound of the broadcast list of frequent shingles, nine bytes each.
 FREQUENT_SHINGLES = 500_000
-_LOCAL_MINIMUM = 3
+_LOCAL_MINIMUM = 2
 #: Shingles that a task holds while it counts.
-_HELD_SHINGLES = 1_000_000
+_HELD_SHINGLES = 3_000_000
 #: Signatures that a task remembers of what it has met, eight bytes each.
 _MET_SIGNATURES = 500_000
 #: Prefix entries that meet in one part; there are as many parts as the data need.
