@@ -102,43 +102,49 @@ class _Met:
         return keep
 
 
+def _add_up(tokens: list[np.ndarray], counts: list[np.ndarray], latest: int = 0) -> None:
+    """Replaces the latest arrays (all for 0) by one of distinct tokens and one of their counts, freeing each array once read."""
+    token, count = np.concatenate(tokens[-latest:]), np.concatenate(counts[-latest:])
+    del tokens[-latest:], counts[-latest:]
+    at = np.argsort(token)
+    count = count[at]
+    token = token[at]
+    del at
+    first = np.flatnonzero(np.append(token[:1] == token[:1], token[1:] != token[:-1]))
+    tokens.append(token[first])
+    counts.append(np.add.reduceat(count, first, dtype=np.uint32) if len(first) else count)
+
+
 def frequent_shingles(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = FREQUENT_SHINGLES) -> tuple[np.ndarray, np.ndarray]:
     """The shingles that several documents of one input task hold most often: at most `most`, with counts."""
 
     def count(batches):
-        held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        parts, size, met = [], 0, _Met()
-
-        def merged():
-            tokens, counts = (np.concatenate(x) for x in zip(held, *parts, strict=True))
-            at = np.argsort(tokens)
-            tokens = tokens[at]
-            sums = np.cumsum(counts[at])
-            last = np.flatnonzero(np.append(tokens[1:] != tokens[:-1], True)) if len(tokens) else np.zeros(0, np.int64)
-            return tokens[last], np.diff(sums[last], prepend=0)
+        tokens, counts, size, met = [], [], 0, _Met()
 
         def out():
-            often = held[1] >= _LOCAL_MINIMUM
-            return pa.RecordBatch.from_arrays([pa.array(held[0][often].view(np.int64)), pa.array(held[1][often], pa.int64())], ["token", "n"])
+            token, n = tokens.pop(), counts.pop()
+            often = n >= _LOCAL_MINIMUM
+            return pa.RecordBatch.from_arrays([pa.array(token[often].view(np.int64)), pa.array(n[often], pa.int64())], ["token", "n"])
 
         for batch in batches:
             for _, _, data, offsets in tk.text_slices(batch.column(0)):
                 shingles, bounds = tk.shingle_sets(data, offsets, words)
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tk.mix(shingles))])
                 keep = met.new(sums[bounds[1:]] - sums[bounds[:-1]])
-                tokens = np.sort(shingles[np.repeat(keep, np.diff(bounds))])
-                last = np.flatnonzero(np.append(tokens[1:] != tokens[:-1], True)) if len(tokens) else np.zeros(0, np.int64)
-                parts.append((tokens[last], np.diff(last, prepend=-1)))
-                size += len(last)
+                fresh = shingles[np.repeat(keep, np.diff(bounds))]
+                tokens.append(fresh)
+                counts.append(np.ones(len(fresh), np.uint32))
+                _add_up(tokens, counts, 1)
+                size += len(tokens[-1])
                 if size > _HELD_SHINGLES:
-                    held = merged()
-                    parts = []
-                    size = len(held[0])
+                    _add_up(tokens, counts)
+                    size = len(tokens[0])
                     if size > _HELD_SHINGLES // 2:
                         yield out()
-                        held, size = (held[0][:0], held[1][:0]), 0
-        held = merged()
-        yield out()
+                        size = 0
+        if tokens:
+            _add_up(tokens, counts)
+            yield out()
 
     counted = staged(docs.select("text").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")), "frequent")
     sizes = counted.groupBy(F.least("n", F.lit(4096)).alias("n")).count().collect()
