@@ -160,3 +160,58 @@ def json_object(reply: Column) -> Column:
     sliced = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
     valid = lambda x: F.try_parse_json(x).isNotNull() & F.trim(x).startswith("{")
     return F.when(valid(text), text).when(valid(sliced), sliced)
+
+
+#: Years and author separators of database manifests (fixed patterns).
+MANIFEST_YEAR = r"(?U)\b(1[5-9]\d{2}|20\d{2})\b"
+AUTHOR_BREAK = r"(?U)\s*;\s*|\s+and\s+"
+#: Words in a slot's description that ask for a term identifier (fixed values).
+IDENTIFIER_WORDS = ["curie", "ontology term", "accession", "identifier", "uri"]
+
+
+def manifest_year(value: Column) -> Column:
+    """The first year that stands as a word; null without one."""
+    return F.regexp_extract(F.coalesce(value.cast("string"), F.lit("")), MANIFEST_YEAR, 1).try_cast("int")
+
+
+def author_list(value: Column) -> Column:
+    """Names between semicolons or the word `and`; null gives an empty list."""
+    parts = F.transform(F.split(F.coalesce(value, F.lit("")), AUTHOR_BREAK), F.trim)
+    return F.filter(parts, lambda x: x != "")
+
+
+def safe_name(value: Column) -> Column:
+    """A name that may stand in a file name; `witness` if nothing is left."""
+    bare = F.btrim(F.regexp_replace(F.coalesce(value, F.lit("")), "[^A-Za-z0-9._-]+", "_"), F.lit("_"))
+    return F.when(bare == "", "witness").otherwise(bare)
+
+
+def shortened(value: Column, most: int) -> Column:
+    """White space collapsed; a longer text is cut to `most` characters, the last of them an ellipsis."""
+    text = F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), _SPACE, " "))
+    return F.when(F.length(text) <= most, text).otherwise(F.concat(F.rtrim(F.substring(text, 1, most - 1)), F.lit("…")))
+
+
+def relative_path(path: Column, base: str) -> Column:
+    """A resolved path as seen from the folder `base`; null outside it."""
+    base = base.rstrip("/")
+    return F.when(path == (base or "/"), ".").when(path.startswith(base + "/"), F.substring(path, len(base) + 2, 1 << 30))
+
+
+def document_ref(reference: Column) -> Column:
+    """The document named by a struct with document_id and doi; an empty id gives way to the DOI."""
+    return F.coalesce(F.nullif(reference["document_id"], F.lit("")), reference["doi"])
+
+
+def comparable_list(values: Column) -> Column:
+    """A list's values normalised and sorted, for comparison without order."""
+    return F.array_sort(F.transform(values, norm))
+
+
+def wants_identifier(description: Column, excluded: Column) -> Column:
+    """Whether a slot's description asks for a term identifier; enums, inlined classes and record ids are `excluded`."""
+    words = F.lower(F.coalesce(description, F.lit("")))
+    hit = F.lit(False)
+    for word in IDENTIFIER_WORDS:
+        hit = hit | words.contains(word)
+    return hit & ~excluded

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.identity import EDGE_PREFIX, node_id, stable_id
-from ..operators import agreement, chunking, confidence, grounding, matching, merge, normalize, reconcile, validate
+from ..operators import agreement, chunking, confidence, grounding, matching, merge, normalize, reconcile, reports, validate
 from ..streaming import incremental
 from .views import claims, claims_sql, mentions, mentions_sql, table
 
@@ -701,6 +701,117 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.chunks(table(spark, sf_dir, "documents"))
 
 
+# Reports -------------------------------------------------------------------------------------------------------
+
+
+@query(f"""with n as (select graph_ord, item_ord, case when item_ord % 3 <> 0 then name end as name from ({mentions_sql()}) m), c as ({claims_sql()})
+    select c.graph_ord, c.item_ord, coalesce(a.name, 'n:' || c.graph_ord || ':' || subject_ord) || ' --' || case when negated then 'NOT ' else '' end || predicate || '--> ' || coalesce(b.name, 'n:' || c.graph_ord || ':' || object_ord) as label
+    from c join n a on a.graph_ord = c.graph_ord and a.item_ord = subject_ord join n b on b.graph_ord = c.graph_ord and b.item_ord = object_ord""")
+def edge_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims in words, with ids where a node has no name."""
+    nodes = mentions(spark, sf_dir)
+    names = nodes.select("graph_ord", F.col("node").alias("id"), F.when(F.col("item_ord") % 3 != 0, F.col("name")).alias("name"))
+    return reports.edge_labels(claims(spark, sf_dir, nodes.drop("node")), names, ["graph_ord"]).select("graph_ord", "item_ord", "label")
+
+
+@query(f"""with {_OMISSIONS}, ends as (select graph_ord, subject as node from c union select graph_ord, object from c),
+    g as (select graph_ord, subject || ' -> ' || object as label, count(distinct witness) as witnesses, (graph_ord, subject) in (select (graph_ord, node) from ends) and (graph_ord, object) in (select (graph_ord, node) from ends) as endpoints_in_primary from o group by graph_ord, subject, object)
+    select *, row_number() over (partition by graph_ord order by witnesses desc, endpoints_in_primary desc, label) as rank from g""")
+def omission_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: claims that only witnesses make, those that most of them make first."""
+    primary, witness = _witnesses(spark, sf_dir)
+    primary = primary.where("id % 2 = 0")
+    found = agreement.grouped_omissions(agreement.edge_verdicts(primary, witness, ["graph_ord"], _COMPARED)[1], ["graph_ord"])
+    ends = primary.select("graph_ord", F.col("subject").alias("node")).union(primary.select("graph_ord", "object")).distinct().withColumn("known", F.lit(True))
+    for end in ("subject", "object"):
+        found = found.join(ends.withColumnsRenamed({"node": end, "known": f"{end}_known"}), ["graph_ord", end], "left")
+    known = F.col("subject_known").isNotNull() & F.col("object_known").isNotNull()
+    rows = found.select("graph_ord", F.concat("subject", F.lit(" -> "), "object").alias("label"), "witnesses", known.alias("endpoints_in_primary"))
+    return reports.ranked_omissions(rows, ["graph_ord"]).withColumn("witnesses", F.size("witnesses"))
+
+
+@query(f"""with {_WITNESS}, x as (select graph_ord, id, status, case (graph_ord + id) % 4 when 0 then 'low' when 1 then 'medium' when 2 then 'high' end as confidence from ss where status <> 'agreed')
+    select *, case status when 'conflict' then 0 when 'unsupported' then 1 when 'partial' then 2 else 3 end as status_place, case confidence when 'low' then 0 when 'medium' then 1 when 'high' then 2 else 3 end as confidence_place from x""")
+def dispute_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged claims, the gravest and least confident first."""
+    k = (F.col("graph_ord") + F.col("id")) % 4
+    confident = F.when(k == 0, "low").when(k == 1, "medium").when(k == 2, "high")
+    return reports.ranked_disputes(_statuses(spark, sf_dir).select("graph_ord", "id", "status", confident.alias("confidence")))
+
+
+@query(f"with {_NODES} select case when item_ord % 9 = 0 then 'n:' || graph_ord || ':' || item_ord else node_id end as id, count(*) as sources, max(case when l_tax > 0 then l_discount::double end) as best, bool_or(l_linestatus = 'O') as flagged from nodes group by 1")
+def merged_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sidecars of all documents say about each merged node."""
+    nodes, _, id_map = _merged(spark, sf_dir)
+    entries = nodes.select("graph_ord", F.col("node").alias("old_id"), F.when(F.col("l_tax") > 0, F.col("l_discount").cast("double")).alias("score"), (F.col("l_linestatus") == "O").alias("flagged"))
+    known = id_map.where(F.substring_index("old_id", ":", -1).cast("int") % 9 != 0)
+    return reports.merged_index(reports.merged_sources(entries, known))
+
+
+@query("select lang, string_agg(distinct source, '; ' order by source) as snapshots from documents where source <> '' group by 1")
+def snapshot_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct names in one string."""
+    return table(spark, sf_dir, "documents").groupBy("lang").agg(reports.snapshot_union("source").alias("snapshots"))
+
+
+@query("select count(*) as documents, count_if(doc_id % 3 <> 0) as with_pdf, count_if(doc_id % 5 = 0) as unmatched_pdfs, count_if(doc_id % 3 = 0 and doc_id % 5 <> 0) as missing_pdfs from documents")
+def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: what a manifest holds."""
+    i = F.col("doc_id")
+    match = F.when(i % 5 == 0, "unmatched_pdf").when(i % 3 == 0, "no_pdf").otherwise("link")
+    return reports.manifest_counts(table(spark, sf_dir, "documents").select(F.when(i % 3 != 0, F.concat(i, F.lit(".pdf"))).alias("pdf_path"), match.alias("match")))
+
+
+@query("select user_id, round(avg(case when event_id % 3 = 0 then value else value * 2 end), 4) as output_perplexity, sum(case when event_id % 2 = 0 then event_id else 0 end)::bigint as reasoning_tokens from events group by 1")
+def usage_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of outputs and reasoning tokens of each document."""
+    i, value = F.col("event_id"), F.col("value").cast("double")
+    answer = F.when(i % 3 == 0, value).when(i % 3 == 1, 0.0)
+    chunks_ = table(spark, sf_dir, "events").select("user_id", answer.alias("answer_perplexity"), F.when(i % 3 == 0, value).otherwise(value * 2).alias("perplexity"), F.when(i % 2 == 0, i).alias("reasoning_tokens"))
+    return reports.usage_totals(chunks_, ["user_id"])
+
+
+@query("with a as (select event_id, unnest([0, 1, 2, 3, 4]) as k, value from events) select event_id, k as place, 't' || k as token, round(exp(greatest(-(value / 50 + k), -100)), 4) as p from a")
+def token_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five alternatives of each token."""
+    top = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda k: F.struct(F.concat(F.lit("t"), k).alias("token"), (-(F.col("value") / 50 + k)).alias("logprob")))
+    rows = table(spark, sf_dir, "events").select("event_id", F.posexplode(reports.alternatives(top)).alias("place", "a"))
+    return rows.select("event_id", "place", "a.token", "a.p")
+
+
+@query("select o_orderpriority, count(*) as n, row_number() over (order by count(*) desc, o_orderpriority) as place from orders group by 1")
+def tally_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tally in print order."""
+    return reports.tally(table(spark, sf_dir, "orders"), "o_orderpriority")
+
+
+@query("with t as (select doc_id, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) as x from documents) select doc_id, case when length(x) <= 120 then x else rtrim(left(x, 119)) || '…' end as hint from t")
+def shortened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as hints of at most 120 characters."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.shortened(F.col("text"), 120).alias("hint"))
+
+
+@query("""select p_partkey, trim(regexp_replace('+' || p_type || '/' || p_brand || '!', '[^A-Za-z0-9._-]+', '_', 'g'), '_') as safe, array_to_string([p_type, p_brand || ' x', p_name], '|') as authors,
+    array_to_string(list_sort([lower(p_type), lower(p_brand), lower(p_name)]), '|') as comparable from part""")
+def name_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names for files, author lists, lists compared without order."""
+    c, t = F.col, F.concat
+    return table(spark, sf_dir, "part").select(
+        "p_partkey",
+        T.safe_name(t(F.lit("+"), "p_type", F.lit("/"), "p_brand", F.lit("!"))).alias("safe"),
+        F.array_join(T.author_list(t("p_type", F.lit(" ; "), "p_brand", F.lit(" x  and "), "p_name", F.lit(";"))), "|").alias("authors"),
+        F.array_join(T.comparable_list(F.array(c("p_type"), c("p_brand"), c("p_name"))), "|").alias("comparable"),
+    )
+
+
+@query("select o_orderkey, case when o_orderkey % 4 <> 0 then year(o_orderdate::date)::int end as year from orders")
+def manifest_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first year that stands as a word."""
+    year = F.year(F.col("o_orderdate").cast("date")).cast("string")
+    text = F.when(F.col("o_orderkey") % 4 != 0, F.concat(F.lit("no 31999, "), year, F.lit("-07 (2001)"))).otherwise(F.concat(F.lit("x"), year))
+    return table(spark, sf_dir, "orders").select("o_orderkey", T.manifest_year(text).alias("year"))
+
+
 def queries():
     return dict(_QUERIES)
 

@@ -28,10 +28,10 @@ def terms(classes: DataFrame, prefixes: DataFrame) -> DataFrame:
     """(curie, label, synonyms): the longest prefix base names an IRI, else its last segment does.
 
     The first label names a term, others are synonyms; terms without a label and excluded prefixes are left out.
-    prefixes(prefix, base) is a small table.
+    Elements that repeat an IRI are taken in the order of their labels. prefixes(prefix, base) is a small table.
     """
     joined = classes.join(F.broadcast(prefixes), F.expr("startswith(iri, base)"), "left")
-    best = joined.groupBy("iri").agg(F.max_by(F.concat("prefix", F.lit(":"), F.expr("substring(iri, length(base) + 1)")), F.length("base")).alias("known"), F.flatten(F.collect_set("labels")).alias("labels"), F.flatten(F.collect_set("synonyms")).alias("synonyms"))
+    best = joined.groupBy("iri").agg(F.max_by(F.concat("prefix", F.lit(":"), F.expr("substring(iri, length(base) + 1)")), F.length("base")).alias("known"), F.flatten(F.array_sort(F.collect_set("labels"))).alias("labels"), F.flatten(F.array_sort(F.collect_set("synonyms"))).alias("synonyms"))
     tail = F.element_at(F.split("iri", "[/#]"), -1)
     curie = F.coalesce("known", F.regexp_replace(tail, "^([A-Za-z]+)_", "$1:"))
     rows = best.select(curie.alias("curie"), F.get("labels", 0).alias("label"), F.array_distinct(F.concat(F.slice("labels", 2, 1000), "synonyms")).alias("synonyms"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import text as T
 from claimloom.functions.identity import stable_id
-from claimloom.operators import agreement, chunking, confidence, matching, merge, normalize, reconcile, validate
+from claimloom.operators import agreement, chunking, confidence, matching, merge, normalize, reconcile, reports, validate
 from claimloom.sources import graphs, ontology, ris, sqlite_manifest
 from claimloom.streaming import incremental
 
@@ -330,3 +330,51 @@ def test_tokens_align_by_bytes_and_anchors():
     spans = align_tokens(thought + said, answer, from_end=True)
     assert spans[: len(thought)] == [None] * len(thought)
     assert [x and answer[slice(*x)] for x in spans[len(thought) :]] == ['{"claim": ', '"the caf', "é", "é", " opened", ' early"}']
+
+
+def test_manifest_texts(spark):
+    assert one(spark, T.manifest_year(F.col("v")), v="c. 2021; 1999") == 2021
+    assert one(spark, T.manifest_year(F.col("v")), v="x2021 31999") is None
+    assert one(spark, T.author_list(F.col("v")), v="A, B ; C and  D;") == ["A, B", "C", "D"]
+    assert one(spark, T.author_list(F.lit(None).cast("string")), v=1) == []
+    assert one(spark, T.safe_name(F.col("v")), v="__a b/c__") == "a_b_c"
+    assert one(spark, T.safe_name(F.col("v")), v="//") == "witness"
+    assert one(spark, T.shortened(F.col("v"), 6), v=" ab  cd ef ") == "ab cd…"
+    assert one(spark, T.shortened(F.col("v"), 8), v=" ab  cd ef ") == "ab cd ef"
+    assert one(spark, T.comparable_list(F.col("v")), v=["b ", "A  x"]) == ["a x", "b"]
+
+
+def test_relative_paths(spark):
+    for path, found in (("/a/b/c.pdf", "b/c.pdf"), ("/a", "."), ("/ab/c", None), (None, None)):
+        assert one(spark, T.relative_path(F.lit(path).cast("string"), "/a/"), v=1) == found
+    ref = lambda i, d: F.struct(F.lit(i).cast("string").alias("document_id"), F.lit(d).cast("string").alias("doi"))
+    assert [one(spark, T.document_ref(ref(*x)), v=1) for x in (("i", "d"), ("", "d"), (None, None))] == ["i", "d", None]
+    wants = lambda d, x: one(spark, T.wants_identifier(F.lit(d).cast("string"), F.lit(x)), v=1)
+    assert [wants("A CURIE of it", False), wants("A CURIE of it", True), wants("plain", False), wants(None, False)] == [True, False, False, False]
+
+
+def test_quote_found(spark):
+    found = lambda e: one(spark, reports.quote_found(F.expr(e)), v=1)
+    assert found("array(named_struct('start_char', 1))")
+    assert not found("array(named_struct('start_char', 1), named_struct('start_char', cast(null as int)))")
+    assert not found("cast(array() as array<struct<start_char:int>>)")
+    assert not found("cast(null as array<struct<start_char:int>>)")
+
+
+def test_reports(spark):
+    edges = spark.createDataFrame([(1, "a", "b", "causes", True), (1, "a", "z", "causes", None)], "g int, subject string, object string, predicate string, negated boolean")
+    names = spark.createDataFrame([(1, "a", "Soil"), (1, "b", ""), (2, "z", "other")], "g int, id string, name string")
+    assert {r["label"] for r in reports.edge_labels(edges, names, ["g"]).collect()} == {"Soil --NOT causes--> b", "Soil --causes--> z"}
+    rows = spark.createDataFrame([(1, ["x"], True, "b"), (1, ["x", "y"], False, "c"), (1, ["x"], True, "a"), (1, ["x"], False, "0")], "g int, witnesses array<string>, endpoints_in_primary boolean, label string")
+    assert [r["label"] for r in reports.ranked_omissions(rows, ["g"]).orderBy("rank").collect()] == ["c", "a", "b", "0"]
+    items = spark.createDataFrame([("partial", "low"), ("conflict", None), ("conflict", "high"), ("agreed", "low"), ("unchecked", "low"), ("odd", "low")], "status string, confidence string")
+    assert [tuple(r)[:2] for r in reports.ranked_disputes(items).collect()] == [("conflict", "high"), ("conflict", None), ("partial", "low"), ("odd", "low")]
+    entries = spark.createDataFrame([(1, "a", 0.5, False), (2, "a", None, None), (2, "q", None, None)], "graph_ord int, old_id string, score double, flagged boolean")
+    ids = spark.createDataFrame([(1, "a", "m"), (2, "a", "m")], "graph_ord int, old_id string, new_id string")
+    assert {tuple(r) for r in reports.merged_index(reports.merged_sources(entries, ids)).collect()} == {("m", 2, 0.5, False), ("q", 1, None, False)}
+    names = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, ""), (2, None)], "g int, s string")
+    assert {tuple(r) for r in names.groupBy("g").agg(reports.snapshot_union("s")).collect()} == {(1, "a; b"), (2, None)}
+    assert [tuple(r) for r in reports.tally(names, "s").orderBy("place").collect()][0] == ("b", 2, 1)
+    usage = spark.createDataFrame([(1, 0.0, 2.0, None), (1, 3.0, 9.0, 5), (2, None, None, None)], "d int, answer_perplexity double, perplexity double, reasoning_tokens long")
+    assert {tuple(r) for r in reports.usage_totals(usage, ["d"]).collect()} == {(1, 2.5, 5), (2, None, 0)}
+    assert tuple(reports.manifest_counts(spark.createDataFrame([("p", "link"), ("", "no_pdf"), (None, "unmatched_pdf")], "pdf_path string, match string")).head()) == (3, 1, 1, 1)
