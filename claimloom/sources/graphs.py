@@ -20,9 +20,10 @@ NOT_GRAPHS = r"(?i)(\.report|\.confidence|\.agreement|merged_index|corpus_report
 
 
 def list_graphs(spark: SparkSession, folder: str) -> DataFrame:
-    """(graph_ord, path, content) of graph files in order of their paths."""
+    """(graph_ord, path, content) of graph files, numbered in order of their paths."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{yaml,yml,json}").load(folder).where(~F.col("path").rlike(NOT_GRAPHS))
-    return files.select(F.row_number().over(Window.orderBy("path")).alias("graph_ord"), "path", F.decode("content", "UTF-8").alias("content"))
+    order = files.select("path", F.row_number().over(Window.orderBy("path")).alias("graph_ord"))  # one task numbers paths, never contents
+    return files.join(order, "path").select("graph_ord", "path", F.decode("content", "UTF-8").alias("content"))
 
 
 def _as_json(batches):

@@ -211,7 +211,9 @@ def test_graph_files(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(graph))
     (tmp_path / "a.confidence.json").write_text("{}")
     (tmp_path / "broken.json").write_text("{")
-    read = graphs.read_graphs(graphs.list_graphs(spark, str(tmp_path)))
+    listed = graphs.list_graphs(spark, str(tmp_path))
+    assert sorted((r["graph_ord"], r["path"].rpartition("/")[2], r["content"]) for r in listed.collect()) == [(1, "a.json", json.dumps(graph)), (2, "broken.json", "{")]
+    read = graphs.read_graphs(listed)
     assert graphs.child(read, "nodes").select("id", "name").collect() == [Row(id="n1", name="A")] and graphs.child(read, "edges").count() == 1
     nested = graphs.nest(graphs.child(read, "nodes"), graphs.child(read, "edges"), ["graph_ord"]).head()["graph"]
     assert json.loads(nested)["nodes"][0]["id"] == "n1"
