@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from ..streaming.incremental import not_done
 NODE_FACETS = ["entity_term", "measured_attribute", "state_or_change_qualifier", "entity_type"]
 NODE_FIELDS = ["name", *NODE_FACETS, "annotator"]
 EDGE_FIELDS = ["claim_strength", "negated", "fcm_weight", "annotation_confidence"]
+#: Rows of the pointer table: nanoseconds of the write, and the version.
+POINTER = "at bigint, version string"
 
 
 class Stages:
@@ -53,9 +56,10 @@ def run_corpus(spark: SparkSession, folder: str, documents: DataFrame, replies:
 
 
 def write_back(spark: SparkSession, folder: str, nodes: DataFrame, edges: DataFrame) -> str:
-    """Writes a merged graph as a new version if its integrity holds; the pointer table then names it.
+    """Writes a merged graph as a new version if its integrity holds; a row added to the pointer table then names it.
 
-    Earlier versions stay. Returns the version; raises ValueError with the number of problems.
+    Nothing is overwritten, so a write that breaks off leaves the version before it current. Earlier versions stay.
+    Returns the version; raises ValueError with the number of problems.
     """
     problems = validate.check_integrity(nodes.select(F.lit(0).alias("graph_ord"), F.col("new_id").alias("id")), edges.select(F.lit(0).alias("graph_ord"), F.col("edge_id").alias("id"), "subject", "object"))
     count = problems.count()
@@ -64,12 +68,13 @@ def write_back(spark: SparkSession, folder: str, nodes: DataFrame, edges: DataFr
     version = uuid.uuid4().hex
     nodes.write.parquet(f"{folder}/{version}/nodes")
     edges.write.parquet(f"{folder}/{version}/edges")
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{folder}/current")
+    spark.createDataFrame([(time.time_ns(), version)], POINTER).coalesce(1).write.mode("append").json(f"{folder}/current")
     return version
 
 
 def current(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    version = spark.read.json(f"{folder}/current").head()["version"]
+    """Nodes and edges of the latest version that a completed write-back named."""
+    version = spark.read.schema(POINTER).json(f"{folder}/current").agg(F.max(F.struct("at", "version")).alias("last")).head()["last"]["version"]
     return spark.read.parquet(f"{folder}/{version}/nodes"), spark.read.parquet(f"{folder}/{version}/edges")
 
 

@@ -318,6 +318,8 @@ def test_corpus_run_is_incremental_and_gated(spark, tmp_path):
     with pytest.raises(ValueError):
         stages.write_back(spark, str(tmp_path / "merged"), both["nodes"].limit(1), both["edges"])
     assert stages.current(spark, str(tmp_path / "merged"))[0].count() == 3
+    later = stages.write_back(spark, str(tmp_path / "merged"), both["nodes"], both["edges"].limit(1))
+    assert later != version and stages.current(spark, str(tmp_path / "merged"))[1].count() == 1
     assert "Loss \\| x" in stages.markdown_table(nodes, ["entity_term"], ["entity_term"])
 
 
