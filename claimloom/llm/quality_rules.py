@@ -130,51 +130,69 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     What stands in one place only has no entry: it counts in discounts and totals, but a text is not to find its own
     oddities familiar.
     """
-    levels = {order: counts.select("lang", "gram", F.col("n").cast("double").alias("c"), F.col("n").alias("places"))}
+    levels = [counts.select("lang", "gram", F.col("n").cast("double").alias("c"), F.col("n").alias("places"))]
     for n in range(order - 1, 0, -1):
-        levels[n] = staged(levels[n + 1].groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 8 * n) - 1)).alias("gram")).agg(F.count("*").cast("double").alias("c"), F.sum("places").alias("places")), f"level{n}")
-    out = []
+        shorter = levels[0].groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 8 * n) - 1)).alias("gram"))
+        levels.insert(0, staged(shorter.agg(F.count("*").cast("double").alias("c"), F.sum("places").alias("places")), f"level{n}"))
+    seen = _weighed(levels)
+    contexts = seen.where("heads")
+    model = contexts.where("n = 1").select("lang", F.lit(0).alias("kind"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("gram"), F.col("base").alias("value"))
+    model = model.unionByName(contexts.where("n > 1").select("lang", F.lit(_CONTEXT).alias("kind"), (F.col("n") - 1).alias("n"), F.col("h").alias("gram"), F.log("gamma").alias("value")))
     lower = None
     for n in range(1, order + 1):
-        grams = levels[n].withColumn("h", F.shiftrightunsigned("gram", 8))
-        bucket = [F.sum((F.col("c") == k).cast("double")).alias(f"n{k}") for k in (1, 2, 3, 4)]
-        discounts = grams.groupBy("lang").agg(*bucket)
-        y = F.when(F.col("n1") + 2 * F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.5))
-        safe = lambda d, most: F.least(F.greatest(F.coalesce(d, F.lit(0.5)), F.lit(0.05)), F.lit(most))
-        discounts = discounts.select(
-            "lang",
-            safe(1 - 2 * y * F.col("n2") / F.nullif(F.col("n1"), F.lit(0.0)), 0.95).alias("d1"),
-            safe(2 - 3 * y * F.col("n3") / F.nullif(F.col("n2"), F.lit(0.0)), 1.95).alias("d2"),
-            safe(3 - 4 * y * F.col("n4") / F.nullif(F.col("n3"), F.lit(0.0)), 2.95).alias("d3"),
-        )
-        d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        grams = grams.join(F.broadcast(discounts), "lang").withColumn("d", F.least(d, F.col("c")))
-        contexts = grams.groupBy("lang", "h").agg(F.sum("c").alias("total"), F.sum("d").alias("mass"), F.count("*").alias("kinds"), F.sum("places").alias("places"))
-        grams = grams.where("places > 1")
+        grams = seen.where((F.col("n") == n) & (F.col("places") > 1))
         if n == 1:
-            contexts = contexts.select("lang", "h", "total", (F.col("mass") / F.col("total")).alias("gamma"), F.log(F.col("mass") / F.col("total") / (F.col("kinds") + 1)).alias("base"))
-            out.append(contexts.select("lang", F.lit(0).alias("kind"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("gram"), F.col("base").alias("value")))
-            found = grams.join(F.broadcast(contexts), ["lang", "h"]).select(
-                "lang", "gram", F.log((F.col("c") - F.col("d")) / F.col("total") + F.exp("base")).alias("logp"), F.col("base").alias("rest")
-            )
+            found = grams.select("lang", "gram", F.log(F.col("direct") + F.exp("base")).alias("logp"), F.col("base").alias("rest"))
         else:
-            contexts = contexts.where("places > 1").select("lang", "h", "total", (F.col("mass") / F.col("total")).alias("gamma"))
-            out.append(contexts.select("lang", F.lit(_CONTEXT).alias("kind"), F.lit(n - 1).alias("n"), F.col("h").alias("gram"), F.log("gamma").alias("value")))
             found = (
-                grams.join(contexts, ["lang", "h"])
-                .withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << 8 * (n - 1)) - 1)))
+                grams.withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << 8 * (n - 1)) - 1)))
                 .join(lower.select("lang", F.col("gram").alias("suffix"), F.col("logp").alias("below")), ["lang", "suffix"])
-                .select("lang", "gram", F.log((F.col("c") - F.col("d")) / F.col("total") + F.col("gamma") * F.exp("below")).alias("logp"), (F.log("gamma") + F.col("below")).alias("rest"))
+                .select("lang", "gram", F.log(F.col("direct") + F.col("gamma") * F.exp("below")).alias("logp"), (F.log("gamma") + F.col("below")).alias("rest"))
             )
-        found = staged(found, f"order{n}")
-        out.append(found.select("lang", F.lit(_GRAM).alias("kind"), F.lit(n).alias("n"), "gram", (F.col("logp") - F.col("rest")).alias("value")))
+        if 1 < n < order:  # the highest order is read once
+            found = staged(found, f"order{n}")
+        model = model.unionByName(found.select("lang", F.lit(_GRAM).alias("kind"), F.lit(n).alias("n"), "gram", (F.col("logp") - F.col("rest")).alias("value")))
         lower = found
-    model = out[0]
-    for x in out[1:]:
-        model = model.unionByName(x)
     return model
 
 
+def _weighed(levels: list[DataFrame]) -> DataFrame:
+    """N-grams of all orders with what they and their contexts weigh: (lang, n, gram, h, places, heads, direct, gamma, base).
+
+    The orders go through the same few jobs, or the driver keeps plans and task figures of each. A context has at most 256
+    n-grams. `heads` marks one n-gram of each context that has an entry; n-grams that stand in one place stay only for that.
+    """
+    grams = None
+    for n, level in enumerate(levels, 1):
+        level = level.withColumn("n", F.lit(n))
+        grams = level if grams is None else grams.unionByName(level)
+    bucket = [F.sum((F.col("c") == k).cast("double")).alias(f"n{k}") for k in (1, 2, 3, 4)]
+    y = F.when(F.col("n1") + 2 * F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.5))
+    safe = lambda d, most: F.least(F.greatest(F.coalesce(d, F.lit(0.5)), F.lit(0.05)), F.lit(most))
+    discounts = grams.groupBy("lang", "n").agg(*bucket).select(
+        "lang",
+        "n",
+        safe(1 - 2 * y * F.col("n2") / F.nullif(F.col("n1"), F.lit(0.0)), 0.95).alias("d1"),
+        safe(2 - 3 * y * F.col("n3") / F.nullif(F.col("n2"), F.lit(0.0)), 1.95).alias("d2"),
+        safe(3 - 4 * y * F.col("n4") / F.nullif(F.col("n3"), F.lit(0.0)), 2.95).alias("d3"),
+    )
+    d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
+    context = Window.partitionBy("lang", "n", "h")
+    weighed = (
+        grams.join(F.broadcast(discounts), ["lang", "n"])
+        .select("lang", "n", "gram", "c", "places", F.least(d, F.col("c")).alias("d"), F.shiftrightunsigned("gram", 8).alias("h"))
+        .select(
+            "lang", "n", "gram", "h", "c", "places", "d", F.sum("c").over(context).alias("total"), F.sum("d").over(context).alias("mass"),
+            F.count("*").over(context).alias("kinds"), F.sum("places").over(context).alias("around"), F.min("gram").over(context).alias("first"),
+        )
+    )
+    heads = (F.col("gram") == F.col("first")) & ((F.col("around") > 1) | (F.col("n") == 1))
+    gamma = F.col("mass") / F.col("total")
+    base = F.when(F.col("n") == 1, F.log(gamma / (F.col("kinds") + 1)))
+    weighed = weighed.select("lang", "n", "gram", "h", "places", heads.alias("heads"), ((F.col("c") - F.col("d")) / F.col("total")).alias("direct"), gamma.alias("gamma"), base.alias("base"))
+    return staged(weighed.where("heads or places > 1"), "weighed")
+
+
 def hash_blocks(model: DataFrame, block_entries: int = BLOCK_ENTRIES) -> tuple[DataFrame, int]:
     """The model as rows (block, hashes, values) of arrays sorted by hash, at most about block_entries each."""
 

@@ -278,6 +278,18 @@ def test_rules_odd_rows(spark, odd):
     assert quality_rules.quality_rules(odd.limit(0)).count() == 0
 
 
+def test_rules_model_takes_few_jobs(spark):
+    """All orders share their jobs: the driver holds plans and task figures of every one."""
+    rows = [("en", t, 1 + t % 3) for t in range(300)] + [(None, t, 2) for t in range(40)]
+    counts = spark.createDataFrame(rows, "lang string, gram bigint, n bigint")
+    spark.sparkContext.setJobGroup("model", "model")
+    try:
+        quality_rules.kneser_ney(counts).collect()
+        assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("model")) <= 36
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_rules_bands_reject_planted_junk(spark):
     draw = np.random.default_rng(4)
     parts = ["the", "an", "ti", "on", "er", "ing", "and", "re", "st", "ha", "nd", "ou", "sh", "wh"]
