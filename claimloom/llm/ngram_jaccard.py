@@ -146,7 +146,7 @@ def frequent_shingles(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = F
             _add_up(tokens, counts)
             yield out()
 
-    counted = staged(docs.select("text").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")), "frequent")
+    counted = staged(docs.select("text").mapInArrow(tk.tidy(count), "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")), "frequent")
     sizes = counted.groupBy(F.least("n", F.lit(4096)).alias("n")).count().collect()
     at_least, total = 4097, 0
     for row in sorted(sizes, key=lambda r: -r["n"]):
@@ -180,7 +180,7 @@ def document_sets(docs: DataFrame, order, words: int, threshold: Threshold) -> D
                     x.append(values.view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64())] + [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in out], ["doc_id", "n", "set1", "set2", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id bigint, n bigint, set1 bigint, set2 bigint, prefix bigint")
+    return docs.select("doc_id", "text").mapInArrow(tk.tidy(rows), "doc_id bigint, n bigint, set1 bigint, set2 bigint, prefix bigint")
 
 
 def _packed(values: np.ndarray) -> tuple[bytes, int]:
@@ -249,7 +249,7 @@ def shared_prefixes(docs: DataFrame, order, words: int, threshold: Threshold, pa
         keep = same | np.append(same[1:], False) | (token > _BODY)
         return pa.table({"token": token[keep].view(np.int64), "prefix": group[keep].view(np.int64), "size": n[keep].astype(np.int32), "pos": pos[keep].astype(np.int32)})
 
-    packed = docs.select("text").mapInArrow(emit, "part int, widths int, entries binary")
+    packed = docs.select("text").mapInArrow(tk.tidy(emit), "part int, widths int, entries binary")
     return packed.groupBy("part").applyInArrow(meet, "token bigint, prefix bigint, size int, pos int")
 
 
@@ -289,7 +289,7 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, threshold: Threshold
 
     text = docs.select("doc_id", "text")
     joined = pairs.join(text.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(text.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a bigint, b bigint")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(tk.tidy(compare), "a bigint, b bigint")
 
 
 def _sets(column: pa.Array, words: int):

@@ -172,6 +172,7 @@ class WordEncoder:
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
+tk.KEPT["packing"] = _ENCODERS
 
 
 def word_encoder(path: str) -> WordEncoder:
@@ -233,14 +234,14 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id
 
         def out():
             pieces = packer.place([len(x) for x in held])
-            parts = [np.ascontiguousarray(held[i][s : s + n], "<u4").tobytes() for i, s, n, _, _ in pieces]
+            parts = [np.ascontiguousarray(held[i][s : s + n], "<u4") for i, s, n, _, _ in pieces]
             columns = [
                 pa.array([names[p[0]] for p in pieces], pa.int64()), pa.array([p[1] for p in pieces], pa.int64()), pa.array([p[2] for p in pieces], pa.int64()),
                 pa.array([zlib.crc32(x) for x in parts], pa.int64()), pa.array([len(held[p[0]]) for p in pieces], pa.int64()),
                 pa.array([base + p[3] for p in pieces], pa.int64()), pa.array([p[4] for p in pieces], pa.int64()),
             ]
             labels = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-            return pa.RecordBatch.from_arrays(columns + [pa.array(parts, pa.binary())] * with_ids, labels + ["ids"] * with_ids)
+            return pa.RecordBatch.from_arrays(columns + [pa.array([x.tobytes() for x in parts] if with_ids else [], pa.binary())] * with_ids, labels + ["ids"] * with_ids)
 
         for batch in batches:
             ids = batch.column("doc_id").cast(pa.int64()).to_pylist()
@@ -254,7 +255,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id
         if held:
             yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(pack, fields)
+    return docs.select("doc_id", "text").mapInArrow(tk.tidy(pack, "packing"), fields)
 
 
 def sequences(pieces: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataFrame:

@@ -81,7 +81,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         source = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays([pa.array(range(_PIECES), pa.int32()), pa.array([source] * _PIECES, pa.int32()), pa.array([x.tobytes() for x in piece], pa.binary())], ["piece", "source", "values"])
 
-    rows = summed(docs.select("text").mapInArrow(count, "piece int, source int, values binary")).collect()
+    rows = summed(docs.select("text").mapInArrow(tk.tidy(count), "piece int, source int, values binary")).collect()
     context = np.zeros((VOCABULARY, DIMENSIONS))
     if rows:
         context = np.concatenate([np.frombuffer(x["values"], np.int64) for x in sorted(rows, key=lambda x: x["piece"])]).reshape(VOCABULARY, DIMENSIONS).astype(np.float64)
@@ -174,7 +174,7 @@ def train_classifier(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -
 
     few = F.broadcast(spark.createDataFrame(chosen.to_pandas()[["doc_id", "label"]]).selectExpr("cast(doc_id as bigint) doc_id", "cast(label as int) label"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(few, "doc_id").select("doc_id", "label", F.xxhash64("text").alias("place"), "text")
-    rows = texts.mapInArrow(features, "doc_id bigint, label int, place bigint, features array<double>")
+    rows = texts.mapInArrow(tk.tidy(features), "doc_id bigint, label int, place bigint, features array<double>")
     rows = rows.groupBy("doc_id").agg(F.min(F.struct("place", "label", "features")).alias("x")).select("doc_id", "x.label", "x.features").toArrow().sort_by("doc_id")
     table = np.array(rows.column("features").to_pylist(), dtype=np.float64).reshape(rows.num_rows, 2 * DIMENSIONS + 1)
     return vectors, fit_network(table, (rows.column("label").to_numpy() > 0).astype(np.float64))
@@ -193,7 +193,7 @@ def with_scores(docs: DataFrame, vectors: np.ndarray, network: Network, name: st
 
     from pyspark.sql.types import DoubleType, StructType
 
-    return docs.mapInArrow(score, StructType([*docs.schema.fields]).add(name, DoubleType()))
+    return docs.mapInArrow(tk.tidy(score), StructType([*docs.schema.fields]).add(name, DoubleType()))
 
 
 def in_fold(doc_id, remainder: int):

@@ -116,7 +116,7 @@ def count_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
         merge()
         yield from out()
 
-    counted = docs.select("text", "lang").mapInArrow(count, "lang string, gram bigint, n bigint")
+    counted = docs.select("text", "lang").mapInArrow(tk.tidy(count), "lang string, gram bigint, n bigint")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -206,7 +206,7 @@ def hash_blocks(model: DataFrame, block_entries: int = BLOCK_ENTRIES) -> tuple[D
                 found[at] = _hash(keys[at], *group)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), batch.column("value")], ["hash", "value"])
 
-    entries = staged(model.mapInArrow(hashed, "hash bigint, value double"), "model")
+    entries = staged(model.mapInArrow(tk.tidy(hashed), "hash bigint, value double"), "model")
     blocks = max(1, math.ceil(entries.count() / block_entries))
 
     def packed(pdf):
@@ -354,7 +354,7 @@ def score_documents(docs: DataFrame, blocks: DataFrame, n_blocks: int, order: in
                 found["n_bytes"][rows] = np.diff(offsets)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("lang")] + [pa.array(found[x]) for x in names[2:]], names)
 
-    return docs.select("doc_id", "text", "lang").mapInArrow(score, fields)
+    return docs.select("doc_id", "text", "lang").mapInArrow(tk.tidy(score), fields)
 
 
 def perplexity_bands(scored: DataFrame, least_words: int = LEAST_WORDS, width: float = BAND_WIDTH) -> DataFrame:

@@ -7,6 +7,8 @@ as empty texts.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +19,37 @@ _RADIX = 0xD1342543DE82EF95
 _RADIX_INVERSE = pow(_RADIX, -1, 1 << 64)
 
 
+#: What a worker process keeps from task to task, by the operator it is kept for.
+KEPT: dict[str, dict] = {}
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def make_room(operator: str = "") -> None:
+    """Drops what this process keeps for other operators and returns freed memory to the system."""
+    for name, held in KEPT.items():
+        if name != operator:
+            held.clear()
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def tidy(kernel, operator: str = ""):
+    """The kernel of a task, before and after which its worker process holds only what is kept for this operator.
+
+    Workers outlive their tasks: what allocators hold after one stage would stand beside the next one's arrays.
+    """
+
+    def run(batches):
+        make_room(operator)
+        try:
+            yield from kernel(batches)
+        finally:
+            make_room(operator)
+
+    return run
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (two xor-shift-multiply rounds)."""
     x = values.astype(np.uint64, copy=True)

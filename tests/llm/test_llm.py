@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -553,6 +554,23 @@ def test_search_recall_on_the_embeddings(spark):
 # the pipeline
 
 
+def test_workers_keep_one_operators_state(spark):
+    """A worker that packed documents holds no encoder any more once it scores quality."""
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(40)], "doc_id bigint, text string").repartition(8)
+
+    def kept(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid()]), pa.array([len(packing._ENCODERS)])], ["pid", "kept"])
+
+    look = lambda: {r["pid"]: r["kept"] for r in spark.range(0, 64, 1, 32).mapInArrow(kept, "pid bigint, kept bigint").collect()}
+    packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json")).collect()
+    packers = {pid for pid, n in look().items() if n}
+    assert packers
+    for _ in range(4):
+        quality_classifier.word_vectors(docs)
+    assert not any(n for pid, n in look().items() if pid in packers)
+
+
 @needs_data
 def test_pipeline_stages(spark):
     import corpus_pipeline
