@@ -29,8 +29,8 @@ MODEL = "piece_bpe_32k.model"
 LONGEST = 48
 _MARK = "▁"
 _CACHE_WORDS = 600_000
-#: Larger slices give the recursion more words of one length at a time.
-_SLICE_BYTES = 1 << 22
+#: Larger slices give the recursion more words of one length at a time, and a worker more arrays to hold.
+_SLICE_BYTES = 1 << 20
 _WORDS_AT_ONCE = 16_384
 #: Cells of the candidate table for words that advance together.
 _CELLS = 1 << 21
@@ -308,6 +308,7 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+tk.KEPT["pieces"] = _ENCODERS
 
 
 def piece_encoder(path: str, shared) -> Encoder:
@@ -325,8 +326,12 @@ def _plain(column: pa.Array) -> pa.Array:
     return pc.replace_substring(pc.fill_null(column, ""), _MARK, " ")
 
 
-def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
-    """(doc_id, ids array<int>) for every row of docs(doc_id, text)."""
+def encode_texts(docs: DataFrame, model_path: str, decoded: str | None = None) -> DataFrame:
+    """(doc_id, ids array<int>) for every row of docs(doc_id, text).
+
+    With a name in `decoded`, a column of that name has the text that the ids decode to, as by `decode_ids`; the worker
+    that wrote the ids reads them, where a step of its own would take a second worker for each task.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(PieceModel(model_path))
 
     def encode(batches):
@@ -338,7 +343,32 @@ def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, n).cast(pa.int64()), lists], ["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(encode, "doc_id bigint, ids array<int>")
+    def both(batches):
+        yield from _with_texts(encode(batches), shared.value.bytes, "ids", decoded)
+
+    fields = "doc_id bigint, ids array<int>"
+    if decoded is None:
+        return docs.select("doc_id", "text").mapInArrow(tk.tidy(encode, "pieces"), fields)
+    return docs.select("doc_id", "text").mapInArrow(tk.tidy(both, "pieces"), f"{fields}, `{decoded}` string")
+
+
+def _with_texts(batches, pieces: list[bytes], ids: str, text: str):
+    """The batches, in runs of rows, with the text of their ids as a further column."""
+    sizes = np.array([len(x) for x in pieces], dtype=np.int64)
+    begins, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(pieces), np.uint8)
+    for batch in batches:
+        for first in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            rows = batch.slice(first, _ROWS_AT_ONCE)
+            part = rows.column(ids)
+            count = np.array([0 if x is None else x for x in part.value_lengths().to_pylist()], dtype=np.int64)
+            number = part.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            number = np.where((number >= 0) & (number < len(pieces)), number, 0)
+            size = sizes[number]
+            total = np.cumsum(size)
+            data = flat[np.repeat(begins[number] - (total - size), size) + np.arange(total[-1] if len(total) else 0)].tobytes()
+            ends = np.append(0, total)[np.append(0, np.cumsum(count))].tolist()
+            texts = [data[b + (data[b : b + 1] == b" ") : max(b, e)].decode("utf-8", "replace") if e > b else "" for b, e in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*rows.schema.names, text])
 
 
 def decode_ids(coded: DataFrame, model_path: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -352,21 +382,6 @@ def decode_ids(coded: DataFrame, model_path: str, ids: str = "ids", text: str =
     shared = coded.sparkSession.sparkContext.broadcast(PieceModel(model_path).bytes)
 
     def decode(batches):
-        pieces = shared.value
-        sizes = np.array([len(x) for x in pieces], dtype=np.int64)
-        begins, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(pieces), np.uint8)
-        for batch in batches:
-            for first in range(0, batch.num_rows, _ROWS_AT_ONCE):
-                rows = batch.slice(first, _ROWS_AT_ONCE)
-                part = rows.column(ids)
-                count = np.array([0 if x is None else x for x in part.value_lengths().to_pylist()], dtype=np.int64)
-                number = part.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-                number = np.where((number >= 0) & (number < len(pieces)), number, 0)
-                size = sizes[number]
-                total = np.cumsum(size)
-                data = flat[np.repeat(begins[number] - (total - size), size) + np.arange(total[-1] if len(total) else 0)].tobytes()
-                ends = np.append(0, total)[np.append(0, np.cumsum(count))].tolist()
-                texts = [data[b + (data[b : b + 1] == b" ") : max(b, e)].decode("utf-8", "replace") if e > b else "" for b, e in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*rows.schema.names, text])
-
-    return coded.mapInArrow(decode, StructType([*coded.schema.fields]).add(text, StringType()))
+        yield from _with_texts(batches, shared.value, ids, text)
+
+    return coded.mapInArrow(tk.tidy(decode, "pieces"), StructType([*coded.schema.fields]).add(text, StringType()))

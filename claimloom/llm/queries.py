@@ -12,7 +12,7 @@ from .html_extract import extract_main_text
 from .license_scan import scan_licenses
 from .ngram_jaccard import jaccard_components
 from .packing import pack_documents
-from .piece_codec import decode_ids, encode_texts
+from .piece_codec import encode_texts
 from .quality_classifier import classify_quality
 from .quality_rules import quality_rules
 from .sharding import shard_documents
@@ -47,7 +47,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, and the crc32 of what they decode to."""
     model = tokenizer_path("piece_bpe_32k.model")
-    coded = decode_ids(encode_texts(_table(spark, sf_dir, "documents"), model), model)
+    coded = encode_texts(_table(spark, sf_dir, "documents"), model, decoded="text")
     return coded.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_ids"), F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"))
 
 

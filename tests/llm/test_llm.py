@@ -173,6 +173,17 @@ def test_pieces_equal_the_library(spark, odd):
     assert piece_codec.encode_texts(odd.limit(0), path).count() == 0
 
 
+def test_pieces_and_their_texts_come_from_one_worker(spark, odd):
+    """A task needs one worker, which drops its encoder once it works for another operator."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    both = piece_codec.encode_texts(odd, path, decoded="read back")
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    apart = piece_codec.decode_ids(piece_codec.encode_texts(odd, path), path, text="read back")
+    assert both.schema == apart.schema
+    assert sorted(both.collect(), key=str) == sorted(apart.collect(), key=str)
+    assert piece_codec.tk.KEPT["pieces"] is piece_codec._ENCODERS
+
+
 def test_piece_recursion_equals_merging():
     model = piece_codec.PieceModel(tokenizer_path("piece_bpe_32k.model"))
     draw = np.random.default_rng(2)
