@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Files of a staged table for each core that the cluster has, at most.
+FILES_A_CORE = 8
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's spark.checkpoint.dir; where it is unset, a temporary folder on one machine and an error on a cluster."""
@@ -21,10 +24,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: lineage ends there."""
+    """Writes df as Parquet to the shared folder and reads it back: lineage ends there.
+
+    Many small partitions go into few files: on a local file system Hadoop starts processes for every file, and until such
+    a process runs its own program it shares the whole memory of the executor. Partitions are still worked out one by one,
+    so rows and numbers from monotonically_increasing_id stay the same; a step that reads its task's number must not be staged.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/claimloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.coalesce(FILES_A_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.llm import chat_format, html_extract, license_scan, ngram_jaccard, packing, piece_codec, quality_classifier, quality_rules, sharding, vector_search
+from claimloom.llm import chat_format, html_extract, license_scan, ngram_jaccard, packing, piece_codec, quality_classifier, quality_rules, sharding, staging, vector_search
 from claimloom.llm.components import connected_components
 from claimloom.llm.queries import queries, tokenizer_path
 
@@ -85,6 +85,15 @@ def test_classifier_learns_once_from_a_repeated_id(spark):
     assert scored.columns == ["doc_id", "text", "score"] and scored.count() == 502
 
 
+def test_staged_tables_have_few_files(spark):
+    """Every file of a local folder costs processes, which stand beside the executor."""
+    most = 8 * spark.sparkContext.defaultParallelism
+    many = spark.range(0, 10 * (most + 50), 1, most + 50).withColumn("row", F.monotonically_increasing_id())
+    table = staging.staged(many, "many")
+    assert len(table.inputFiles()) <= most
+    assert sorted(table.collect()) == sorted(many.collect())
+
+
 def test_staged_tables_need_a_shared_folder_on_a_cluster():
     from claimloom.llm.staging import shared_folder
 
