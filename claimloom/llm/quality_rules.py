@@ -329,8 +329,8 @@ def score_documents(docs: DataFrame, blocks: DataFrame, n_blocks: int, order: in
     names = ["doc_id", "lang", *_COUNTS, "n_bytes", "logp"]
 
     def shared(block: int):
-        row = blocks.where(F.col("block") == block).head()
-        return spark.sparkContext.broadcast((bytes(row["hashes"]), bytes(row["values"])) if row else (b"", b""))
+        rows = blocks.where(F.col("block") == block).select("hashes", "values").toArrow()  # rows of Python would be copied within the JVM
+        return spark.sparkContext.broadcast(tuple(column[0].as_buffer().to_pybytes() if rows.num_rows else b"" for column in rows.columns))
 
     arrays = [shared(block) for block in range(n_blocks)]
 

@@ -6,10 +6,16 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+from . import textkernel as tk
+
 #: Files of a staged table for each core that the cluster has, at most.
 FILES_A_CORE = 8
+#: Share of the driver's largest heap that it may take from the system before its garbage is collected, and by which it has to
+#: grow before that is done again.
+HEAP_SHARE, HEAP_GROWTH = 0.5, 0.0625
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,6 +29,37 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def driver_makes_room(spark: SparkSession) -> None:
+    """The driver returns to the system what it holds but does not use: heap, freed native memory, and that of its Python.
+
+    A long chain of jobs leaves garbage, shuffle files and broadcasts that only a collection frees, and the JVM rather takes
+    more heap than to collect. Its allocator keeps what compilers and network buffers have freed. Nothing in use is touched.
+    """
+    jvm = spark._jvm
+    heap = jvm.java.lang.Runtime.getRuntime()
+    most = heap.maxMemory()
+    if heap.totalMemory() > max(HEAP_SHARE * most, getattr(spark, "_claimloom_heap", 0) + HEAP_GROWTH * most):
+        jvm.System.gc()
+        spark._claimloom_heap = heap.totalMemory()
+    try:
+        _trim_native(spark)
+    except Py4JError:  # this JVM has no such command
+        pass
+    tk.make_room()
+
+
+def _trim_native(spark: SparkSession) -> None:
+    """The JVM's diagnostic command that returns freed native memory, by the public interface of its management server."""
+    jvm, new_array = spark._jvm, spark.sparkContext._gateway.new_array
+    types, values = new_array(jvm.Class, 4), new_array(jvm.Object, 4)
+    for i, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+        types[i] = jvm.Class.forName(kind)
+    values[0] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    values[1] = "systemTrimNativeHeap"
+    invoke = jvm.Class.forName("javax.management.MBeanServer").getMethod("invoke", types)
+    invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), values)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: lineage ends there.
 
@@ -33,6 +70,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/claimloom-{name}-{uuid.uuid4().hex}"
     df.coalesce(FILES_A_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
+    driver_makes_room(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -94,6 +94,22 @@ def test_staged_tables_have_few_files(spark):
     assert sorted(table.collect()) == sorted(many.collect())
 
 
+def test_staging_returns_heap_that_the_driver_no_longer_uses(spark):
+    """The JVM keeps what it has once taken; beside its other memory that goes beyond what a driver may have."""
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    held = [spark._jvm.java.nio.ByteBuffer.allocate(8 << 20) for _ in range(int(runtime.maxMemory() * 0.6) >> 23)]
+    taken = runtime.totalMemory()
+    assert taken > 0.5 * runtime.maxMemory()
+    del held
+    assert staging.staged(spark.range(10), "few").count() == 10
+    assert runtime.totalMemory() < 0.75 * taken
+
+
+def test_the_drivers_native_memory_can_be_trimmed(spark):
+    """The command is reached on this JVM; without it the native part of the driver only grows."""
+    staging._trim_native(spark)
+
+
 def test_staged_tables_need_a_shared_folder_on_a_cluster():
     from claimloom.llm.staging import shared_folder
 
