@@ -107,6 +107,16 @@ def test_unique_slugs_pass_over_natural_suffixes(spark):
     assert [r["slug"] for r in rows] == ["x", "x_3", "x_2", "x_4"]
 
 
+def test_unique_slugs_cost_no_more_in_long_groups(spark, capsys):
+    natural = [(i, f"x_{n}") for i, n in enumerate((3, 4, 7, 99))]
+    df = spark.createDataFrame([*natural, *[(10 + i, "x") for i in range(300)]], "ord int, slug string")
+    found = merge.unique_slugs(df, "slug", ["ord"])
+    free = (n for n in range(2, 400) if n not in (3, 4, 7, 99))
+    assert [r["slug"] for r in found.where("ord >= 10").orderBy("ord").collect()] == ["x", *[f"x_{next(free)}" for _ in range(299)]]
+    found.explain()
+    assert "sequence(" not in capsys.readouterr().out  # an array as long as the row's number makes a group quadratic
+
+
 NODES = "id string, ord int, entity_term string, measured_attribute string, qualifier string, entity_type string"
 
 
