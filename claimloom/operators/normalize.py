@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.spread import spread
 from ..functions.text import fold
 
 MIN_OVERLAP = 0.5
@@ -37,19 +38,23 @@ def coerce_enum(values: DataFrame, permitted: DataFrame, aliases: DataFrame | No
     return out.select("value", F.coalesce("by_text", "by_fold", "by_alias", "by_words").alias("coerced"), how.alias("how"))
 
 
-def resolve_endpoints(edges: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
+def resolve_endpoints(edges: DataFrame, nodes: DataFrame, columns: list[str], slices: int | None = None) -> DataFrame:
     """Endpoints given by original id, new id or node name become new ids; what matches nothing stays.
 
     nodes: graph_ord, item_ord, raw_id, id, name. An original id wins over a new id, that over a name; of repeated
     original ids the last wins, of repeated names the first.
+    Every way to name a node is a row of its own, so one aggregation over the nodes makes the lookup.
+    Large tables meet in `slices` partitions.
     """
-    ids = nodes.where("raw_id is not null").groupBy("graph_ord", F.col("raw_id").alias("key")).agg(F.max_by("id", "item_ord").alias("id")).withColumn("p", F.lit(1))
-    own = nodes.select("graph_ord", F.col("id").alias("key"), "id").distinct().withColumn("p", F.lit(2))
-    name = nodes.where("name is not null").groupBy("graph_ord", F.col("name").alias("key")).agg(F.min_by("id", "item_ord").alias("id")).withColumn("p", F.lit(3))
-    lookup = ids.unionByName(own).unionByName(name).groupBy("graph_ord", "key").agg(F.min_by("id", "p").alias("_id"))
+    way = lambda p, key: F.struct(F.lit(p).alias("p"), F.col(key).alias("key"))
+    named = nodes.select("graph_ord", "item_ord", "id", F.explode(F.array(way(1, "raw_id"), way(2, "id"), way(3, "name"))).alias("_way"))
+    named = named.select("graph_ord", "item_ord", "id", "_way.*").where("key is not null")
+    of = lambda p, value: F.when(F.col("p") == p, F.col(value))
+    found = spread(named, slices, "graph_ord", "key").groupBy("graph_ord", "key").agg(F.min("p").alias("_p"), F.max_by("id", of(1, "item_ord")).alias("_raw"), F.min_by("id", of(3, "item_ord")).alias("_name"))
+    lookup = found.select("graph_ord", "key", F.when(F.col("_p") == 1, F.col("_raw")).when(F.col("_p") == 2, F.col("key")).otherwise(F.col("_name")).alias("_id"))
     for column in columns:
         one = lookup.withColumnRenamed("key", column)
-        edges = edges.join(one, ["graph_ord", column], "left").withColumn(column, F.coalesce("_id", column)).drop("_id")
+        edges = spread(edges, slices, "graph_ord", column).join(one, ["graph_ord", column], "left").withColumn(column, F.coalesce("_id", column)).drop("_id")
     return edges
 
 

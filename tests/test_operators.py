@@ -160,6 +160,16 @@ def test_one_to_one_is_greedy_in_order(spark):
     assert {(r["left_ord"], r["right_id"]) for r in matching.one_to_one(df).collect()} == {(1, "p"), (2, "q")}
 
 
+def test_resolved_endpoints_of_large_tables(spark, capsys):
+    nodes = spark.createDataFrame([(0, 1, "r", "i1", "N"), (0, 2, "r", "i2", "N"), (0, 3, None, "i3", "r"), (0, 4, "i3", "i4", None), (1, 1, "r", "k", "N")], "graph_ord int, item_ord int, raw_id string, id string, name string")
+    edges = spark.createDataFrame([(0, "r", "N"), (0, "i3", "i1"), (0, None, "zz"), (1, "N", "i1")], "graph_ord int, subject string, object string")
+    found = normalize.resolve_endpoints(edges, nodes, ["subject", "object"], slices=7)
+    assert {(r["graph_ord"], r["subject"], r["object"]) for r in found.collect()} == {(0, "i2", "i1"), (0, "i4", "i1"), (0, None, "zz"), (1, "k", "i1")}
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning") == plan.count(", 7), REPARTITION_BY_NUM") > 0
+
+
 def test_agreement(spark):
     primary = spark.createDataFrame([(0, "e1", "a", "b", "causes", None), (0, "e2", "b", "c", "causes", True), (0, "e3", "c", "d", "causes", False)], "doc int, id string, subject string, object string, predicate string, negated boolean")
     witness = spark.createDataFrame([(0, "w1", "x1", "a", "b", "causes", False), (0, "w1", "x2", "c", "b", "causes", True), (0, "w1", "x3", "a", "d", "causes", False)], "doc int, witness string, id string, subject string, object string, predicate string, negated boolean")
