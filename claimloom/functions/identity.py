@@ -27,5 +27,15 @@ def node_id(*facets: Column) -> Column:
     return F.concat(F.lit(NODE_PREFIX), F.substring(F.sha2(node_key(*facets), 256), 1, DIGITS))
 
 
+def node_number(*facets: Column) -> Column:
+    """The digits of `node_id` as a number: what joins and aggregations should carry instead of the text."""
+    return F.conv(F.substring(F.sha2(node_key(*facets), 256), 1, DIGITS), 16, 10).cast("bigint")
+
+
+def node_text(number: Column) -> Column:
+    """The `node_id` of a `node_number`."""
+    return F.concat(F.lit(NODE_PREFIX), F.lpad(F.lower(F.hex(number)), DIGITS, "0"))
+
+
 def edge_id(subject: Column, predicate: Column, target: Column, sentence: Column, document: Column) -> Column:
     return stable_id(EDGE_PREFIX, subject, predicate, target, sentence, document)
