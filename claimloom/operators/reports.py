@@ -55,13 +55,14 @@ def _place(column: str, order: dict[str, int]) -> Column:
     return F.coalesce(F.try_element_at(known, F.coalesce(column, F.lit(""))), F.lit(LAST))
 
 
-def ranked_disputes(items: DataFrame) -> DataFrame:
+def ranked_disputes(items: DataFrame, ties: list[str] | None = None) -> DataFrame:
     """The flagged rows of items(status, confidence), the gravest status first, then the least confident.
 
-    `status_place` and `confidence_place` are the sort keys; unknown and null values come last.
+    `status_place` and `confidence_place` are the sort keys; unknown and null values come last. The few pairs of places
+    are too few ranges for many tasks; columns named in `ties` order equal rows and let ranges end within a pair.
     """
     places = {"status_place": _place("status", STATUS_ORDER), "confidence_place": _place("confidence", CONFIDENCE_ORDER)}
-    return items.where(flagged(F.col("status"))).withColumns(places).orderBy("status_place", "confidence_place")
+    return items.where(flagged(F.col("status"))).withColumns(places).orderBy("status_place", "confidence_place", *(ties or []))
 
 
 def merged_sources(entries: DataFrame, id_map: DataFrame) -> DataFrame:

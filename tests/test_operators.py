@@ -170,6 +170,19 @@ def test_resolved_endpoints_of_large_tables(spark, capsys):
     assert plan.count("Exchange hashpartitioning") == plan.count(", 7), REPARTITION_BY_NUM") > 0
 
 
+def test_statuses_from_one_join(spark):
+    primary = spark.createDataFrame([(0, "e1", "a", "b", "causes"), (0, "e2", "b", "a", "causes"), (0, "e3", "c", "d", "causes"), (0, "e4", "c", "d", "prevents"), (0, "e5", "x", "x", "causes"), (0, "e6", None, "x", "causes"), (1, "e7", "a", "b", "causes")], "doc int, id string, subject string, object string, predicate string")
+    witness = spark.createDataFrame([(0, "w1", "1", "b", "a", "causes"), (0, "w1", "2", "d", "c", "causes"), (0, "w2", "1", "c", "d", "causes"), (0, "w2", "2", "x", "x", "causes"), (0, "w2", "3", None, "x", "causes"), (1, "w2", "1", "a", "b", "causes"), (1, "w1", "1", "a", "b", None)], "doc int, witness string, id string, subject string, object string, predicate string")
+    answered = primary.select("doc").distinct().crossJoin(witness.select("witness").distinct())
+    for slices in (None, 5):
+        verdicts, omitted = agreement.edge_verdicts(primary, witness, ["doc"], ["predicate"], slices)
+        best = agreement.reduced(verdicts, ["doc"], slices)
+        assert {(r["id"], r["witness"], r["verdict"]) for r in best.collect()} == {("e2", "w1", "agrees"), ("e3", "w1", "conflict"), ("e4", "w1", "conflict"), ("e3", "w2", "agrees"), ("e4", "w2", "conflict"), ("e5", "w2", "agrees"), ("e7", "w2", "agrees"), ("e7", "w1", "agrees")}
+        assert [(r["doc"], r["w_id"], r["subject"]) for r in omitted.collect()] == [(0, "3", None)]
+        one = agreement.edge_statuses(primary, witness, ["doc"], ["predicate"], ["w1", "w2"], slices)
+        assert sorted(map(str, one.collect())) == sorted(map(str, agreement.item_statuses(primary.select("doc", "id"), best, answered, ["doc"]).collect()))
+
+
 def test_agreement(spark):
     primary = spark.createDataFrame([(0, "e1", "a", "b", "causes", None), (0, "e2", "b", "c", "causes", True), (0, "e3", "c", "d", "causes", False)], "doc int, id string, subject string, object string, predicate string, negated boolean")
     witness = spark.createDataFrame([(0, "w1", "x1", "a", "b", "causes", False), (0, "w1", "x2", "c", "b", "causes", True), (0, "w1", "x3", "a", "d", "causes", False)], "doc int, witness string, id string, subject string, object string, predicate string, negated boolean")
