@@ -16,11 +16,18 @@ def _exploded(df: DataFrame, id_: str, words: Column, keys: list[str], side: str
     return named.select(f"{side}_id", *keys, F.size("_words").alias(f"n_{side}"), F.explode("_words").alias("_word"))
 
 
-def token_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_words: Column, right_words: Column, keys: list[str] | None = None) -> DataFrame:
-    """(left_id, right_id, n_left, n_right, n_shared) of pairs that share a token, and the keys where given."""
+def token_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_words: Column, right_words: Column, keys: list[str] | None = None, least_overlap: float = 0.0) -> DataFrame:
+    """(left_id, right_id, n_left, n_right, n_shared) of pairs that share a token, and the keys where given.
+
+    Pairs whose sizes alone keep their overlap below least_overlap are left out before they are counted: the shared
+    tokens are at most the smaller set, the union at least the larger.
+    """
     keys = keys or []
     a, b = _exploded(left, left_id, left_words, keys, "left"), _exploded(right, right_id, right_words, keys, "right")
-    return a.join(b, [*keys, "_word"]).groupBy("left_id", "right_id", *keys, "n_left", "n_right").agg(F.count("*").alias("n_shared"))
+    met = a.join(b, [*keys, "_word"])
+    if least_overlap > 0:
+        met = met.where(F.least("n_left", "n_right") / F.greatest("n_left", "n_right") >= least_overlap)
+    return met.groupBy("left_id", "right_id", *keys, "n_left", "n_right").agg(F.count("*").alias("n_shared"))
 
 
 def overlap() -> Column:
@@ -51,15 +58,16 @@ def one_to_one(candidates: DataFrame, score: str = "score") -> DataFrame:
 
     candidates(left_ord, right_id, score) should hold only pairs above the threshold. Rounds of window steps
     settle every left row whose choice no earlier open row can contest; each round settles at least one, and
-    ties go to the smaller right_id.
+    ties go to the smaller right_id. The candidates are computed once, not in every round.
     """
-    left = candidates
+    keep = lambda df: df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+    left = candidates = keep(candidates)
     settled: DataFrame | None = None
     while True:
         best = best_match(left, "left_ord", [F.desc(score), F.asc("right_id")])
         earliest = left.groupBy("right_id").agg(F.min("left_ord").alias("_first"))
         sure = best.join(earliest, "right_id").where("left_ord = _first").drop("_first")
-        sure = sure.checkpoint() if left.sparkSession.sparkContext.getCheckpointDir() else sure.persist()
+        sure = keep(sure)
         if sure.isEmpty():
             return candidates.limit(0) if settled is None else settled
         settled = sure if settled is None else settled.unionByName(sure)

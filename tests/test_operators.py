@@ -183,6 +183,30 @@ def test_statuses_from_one_join(spark):
         assert sorted(map(str, one.collect())) == sorted(map(str, agreement.item_statuses(primary.select("doc", "id"), best, answered, ["doc"]).collect()))
 
 
+def test_one_to_one_computes_its_candidates_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    kinds = "left_ord int, right_id string, score double"
+    df = spark.createDataFrame([(1, "p", 0.9), (2, "p", 1.0), (2, "q", 0.5), (3, "q", 0.8), (3, "r", 0.1)], kinds).mapInArrow(counted, kinds)
+    assert {(r["left_ord"], r["right_id"]) for r in matching.one_to_one(df).collect()} == {(1, "p"), (2, "q"), (3, "r")}
+    assert seen.value == 5
+
+
+def test_sizes_leave_out_only_pairs_below_the_overlap(spark):
+    df = spark.createDataFrame([(0, "a b c d"), (1, "a"), (2, "a b"), (3, "a x y z"), (4, "")], "id int, text string")
+    words = T.plain_tokens(F.col("text"))
+    every = matching.token_join(df, df, "id", "id", words, words)
+    fewer = matching.token_join(df, df, "id", "id", words, words, least_overlap=0.5)
+    assert fewer.count() < every.count()
+    kept, kept_of_all = (sorted(map(tuple, matching.similar_pairs(x, matching.overlap(), 0.5).collect())) for x in (fewer, every))
+    assert kept == kept_of_all and len(kept) == 8
+
+
 def test_agreement(spark):
     primary = spark.createDataFrame([(0, "e1", "a", "b", "causes", None), (0, "e2", "b", "c", "causes", True), (0, "e3", "c", "d", "causes", False)], "doc int, id string, subject string, object string, predicate string, negated boolean")
     witness = spark.createDataFrame([(0, "w1", "x1", "a", "b", "causes", False), (0, "w1", "x2", "c", "b", "causes", True), (0, "w1", "x3", "a", "d", "causes", False)], "doc int, witness string, id string, subject string, object string, predicate string, negated boolean")
