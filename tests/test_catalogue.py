@@ -48,7 +48,7 @@ def test_query_on_tables_taken_for_large(spark, duck, name, monkeypatch):
     test_query(spark, duck, name)
 
 
-@pytest.mark.parametrize(("name", "most"), [("claim_rollup", 1), ("resolve_endpoints", 3), ("verdicts", 2), ("claim_status", 2), ("agreement_summary", 2), ("status_by_bucket", 2), ("dispute_ranking", 2), ("witness_rates", 3)])
+@pytest.mark.parametrize(("name", "most"), [("claim_rollup", 1), ("resolve_endpoints", 3), ("verdicts", 2), ("claim_status", 2), ("agreement_summary", 2), ("status_by_bucket", 2), ("dispute_ranking", 2), ("witness_rates", 3), ("witness_node_map", 2)])
 def test_lines_are_read_few_times(spark, name, most, capsys):
     """Every reading of the lines is a join with the parts, a shuffle and a sort of its own unless Spark can reuse it."""
     catalogue.queries()[name](spark, SF).explain()

@@ -160,29 +160,6 @@ def test_one_to_one_is_greedy_in_order(spark):
     assert {(r["left_ord"], r["right_id"]) for r in matching.one_to_one(df).collect()} == {(1, "p"), (2, "q")}
 
 
-def test_resolved_endpoints_of_large_tables(spark, capsys):
-    nodes = spark.createDataFrame([(0, 1, "r", "i1", "N"), (0, 2, "r", "i2", "N"), (0, 3, None, "i3", "r"), (0, 4, "i3", "i4", None), (1, 1, "r", "k", "N")], "graph_ord int, item_ord int, raw_id string, id string, name string")
-    edges = spark.createDataFrame([(0, "r", "N"), (0, "i3", "i1"), (0, None, "zz"), (1, "N", "i1")], "graph_ord int, subject string, object string")
-    found = normalize.resolve_endpoints(edges, nodes, ["subject", "object"], slices=7)
-    assert {(r["graph_ord"], r["subject"], r["object"]) for r in found.collect()} == {(0, "i2", "i1"), (0, "i4", "i1"), (0, None, "zz"), (1, "k", "i1")}
-    found.explain()
-    plan = capsys.readouterr().out
-    assert plan.count("Exchange hashpartitioning") == plan.count(", 7), REPARTITION_BY_NUM") > 0
-
-
-def test_statuses_from_one_join(spark):
-    primary = spark.createDataFrame([(0, "e1", "a", "b", "causes"), (0, "e2", "b", "a", "causes"), (0, "e3", "c", "d", "causes"), (0, "e4", "c", "d", "prevents"), (0, "e5", "x", "x", "causes"), (0, "e6", None, "x", "causes"), (1, "e7", "a", "b", "causes")], "doc int, id string, subject string, object string, predicate string")
-    witness = spark.createDataFrame([(0, "w1", "1", "b", "a", "causes"), (0, "w1", "2", "d", "c", "causes"), (0, "w2", "1", "c", "d", "causes"), (0, "w2", "2", "x", "x", "causes"), (0, "w2", "3", None, "x", "causes"), (1, "w2", "1", "a", "b", "causes"), (1, "w1", "1", "a", "b", None)], "doc int, witness string, id string, subject string, object string, predicate string")
-    answered = primary.select("doc").distinct().crossJoin(witness.select("witness").distinct())
-    for slices in (None, 5):
-        verdicts, omitted = agreement.edge_verdicts(primary, witness, ["doc"], ["predicate"], slices)
-        best = agreement.reduced(verdicts, ["doc"], slices)
-        assert {(r["id"], r["witness"], r["verdict"]) for r in best.collect()} == {("e2", "w1", "agrees"), ("e3", "w1", "conflict"), ("e4", "w1", "conflict"), ("e3", "w2", "agrees"), ("e4", "w2", "conflict"), ("e5", "w2", "agrees"), ("e7", "w2", "agrees"), ("e7", "w1", "agrees")}
-        assert [(r["doc"], r["w_id"], r["subject"]) for r in omitted.collect()] == [(0, "3", None)]
-        one = agreement.edge_statuses(primary, witness, ["doc"], ["predicate"], ["w1", "w2"], slices)
-        assert sorted(map(str, one.collect())) == sorted(map(str, agreement.item_statuses(primary.select("doc", "id"), best, answered, ["doc"]).collect()))
-
-
 def test_one_to_one_computes_its_candidates_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
@@ -207,6 +184,39 @@ def test_sizes_leave_out_only_pairs_below_the_overlap(spark):
     assert kept == kept_of_all and len(kept) == 8
 
 
+def test_nodes_meet_without_a_row_for_each_token(spark, capsys):
+    kinds = "doc int, ord int, id string, entity_term string, measured_attribute string, entity_type string"
+    primary = spark.createDataFrame([(0, 1, "a", "Culex pipiens", "larval abundance", "taxon"), (0, 2, "b", "culex pipiens", "abundance", "other"), (0, 3, "c", "", "", "taxon"), (1, 1, "d", "Culex", "abundance", "taxon")], kinds)
+    witness = spark.createDataFrame([(0, 1, "x", "Culex  pipiens", "abundance", "taxon"), (0, 2, "y", "salinity", "", "taxon"), (0, 3, "z", "pipiens culex", "", "taxon"), (2, 1, "v", "Culex", "abundance", "taxon"), (None, 1, "u", "Culex", "", "taxon")], kinds)
+    found = agreement.map_nodes(primary, witness, ["doc"], ["entity_type"])
+    assert {(r["witness_id"], r["primary_id"], round(r["score"], 4), r["conflicts"]) for r in found.collect()} == {("x", "b", 1.0, 1), ("z", "a", 0.81, 0)}
+    found.explain()
+    assert "Generate" not in capsys.readouterr().out
+
+
+def test_resolved_endpoints_of_large_tables(spark, capsys):
+    nodes = spark.createDataFrame([(0, 1, "r", "i1", "N"), (0, 2, "r", "i2", "N"), (0, 3, None, "i3", "r"), (0, 4, "i3", "i4", None), (1, 1, "r", "k", "N")], "graph_ord int, item_ord int, raw_id string, id string, name string")
+    edges = spark.createDataFrame([(0, "r", "N"), (0, "i3", "i1"), (0, None, "zz"), (1, "N", "i1")], "graph_ord int, subject string, object string")
+    found = normalize.resolve_endpoints(edges, nodes, ["subject", "object"], slices=7)
+    assert {(r["graph_ord"], r["subject"], r["object"]) for r in found.collect()} == {(0, "i2", "i1"), (0, "i4", "i1"), (0, None, "zz"), (1, "k", "i1")}
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning") == plan.count(", 7), REPARTITION_BY_NUM") > 0
+
+
+def test_statuses_from_one_join(spark):
+    primary = spark.createDataFrame([(0, "e1", "a", "b", "causes"), (0, "e2", "b", "a", "causes"), (0, "e3", "c", "d", "causes"), (0, "e4", "c", "d", "prevents"), (0, "e5", "x", "x", "causes"), (0, "e6", None, "x", "causes"), (1, "e7", "a", "b", "causes")], "doc int, id string, subject string, object string, predicate string")
+    witness = spark.createDataFrame([(0, "w1", "1", "b", "a", "causes"), (0, "w1", "2", "d", "c", "causes"), (0, "w2", "1", "c", "d", "causes"), (0, "w2", "2", "x", "x", "causes"), (0, "w2", "3", None, "x", "causes"), (1, "w2", "1", "a", "b", "causes"), (1, "w1", "1", "a", "b", None)], "doc int, witness string, id string, subject string, object string, predicate string")
+    answered = primary.select("doc").distinct().crossJoin(witness.select("witness").distinct())
+    for slices in (None, 5):
+        verdicts, omitted = agreement.edge_verdicts(primary, witness, ["doc"], ["predicate"], slices)
+        best = agreement.reduced(verdicts, ["doc"], slices)
+        assert {(r["id"], r["witness"], r["verdict"]) for r in best.collect()} == {("e2", "w1", "agrees"), ("e3", "w1", "conflict"), ("e4", "w1", "conflict"), ("e3", "w2", "agrees"), ("e4", "w2", "conflict"), ("e5", "w2", "agrees"), ("e7", "w2", "agrees"), ("e7", "w1", "agrees")}
+        assert [(r["doc"], r["w_id"], r["subject"]) for r in omitted.collect()] == [(0, "3", None)]
+        one = agreement.edge_statuses(primary, witness, ["doc"], ["predicate"], ["w1", "w2"], slices)
+        assert sorted(map(str, one.collect())) == sorted(map(str, agreement.item_statuses(primary.select("doc", "id"), best, answered, ["doc"]).collect()))
+
+
 def test_agreement(spark):
     primary = spark.createDataFrame([(0, "e1", "a", "b", "causes", None), (0, "e2", "b", "c", "causes", True), (0, "e3", "c", "d", "causes", False)], "doc int, id string, subject string, object string, predicate string, negated boolean")
     witness = spark.createDataFrame([(0, "w1", "x1", "a", "b", "causes", False), (0, "w1", "x2", "c", "b", "causes", True), (0, "w1", "x3", "a", "d", "causes", False)], "doc int, witness string, id string, subject string, object string, predicate string, negated boolean")
